@@ -26,6 +26,8 @@ class SourceTable:
     fields: tuple[tuple[str, str], ...]
     primary_key: tuple[str, ...] = ()
     watermark: str | None = None
+    # Free text may hold line breaks; such a file cannot be split by lines.
+    free_text: bool = False
     tags: tuple[str, ...] = ()
 
     @property
@@ -96,6 +98,7 @@ SOURCE_TABLES: tuple[SourceTable, ...] = (
             "review_creation_date:timestamp review_answer_timestamp:timestamp"
         ),
         primary_key=("review_id", "order_id"),
+        free_text=True,
         tags=("fact",),
     ),
     SourceTable(
