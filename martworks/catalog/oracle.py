@@ -509,17 +509,17 @@ from src_orders group by 1""",
 )
 answer(
     "landing_roundtrip",
-    "src_orders src_sellers",
-    """select 'orders' as "table", count(*) row_count,
-  count(distinct cast(order_purchase_timestamp as date)) partitions from src_orders
-union all select 'sellers', count(*), 1 from src_sellers""",
+    "src_runs src_sellers",
+    """select 'runs' as "table", cast(started_at as date) ingest_date, count(*) row_count
+from src_runs group by 2
+union all select 'sellers', date '2024-01-09', count(*) from src_sellers""",
 )
 answer(
     "backfill_days",
     "src_order_items",
     """select cast(shipping_limit_date as date) ingest_date, count(*) row_count
 from src_order_items where cast(shipping_limit_date as date)
-  between date '1996-01-10' and date '1996-03-20' group by 1""",
+  between date '1996-01-10' and date '1996-02-08' group by 1""",
 )
 answer(
     "window_intersection",

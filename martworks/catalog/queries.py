@@ -16,7 +16,7 @@ from martworks.plans import marts, reports, rollups
 from martworks.quality import checks, declared, expectations, invariants, suites
 from martworks.quality.quantiles import exact_quantiles
 from martworks.sources import csv_source, files, landing, raw
-from martworks.sources.registry import get_table
+from martworks.sources.registry import SourceTable, get_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -127,26 +127,39 @@ def landed_by_day(lake: Lake) -> DataFrame:
     )
 
 
+# The run table is landed like a source: sliced by start time, one folder per day.
+RUN_TABLE = SourceTable(
+    "runs",
+    (
+        ("dag_id", "string"),
+        ("task_id", "string"),
+        ("run_id", "string"),
+        ("started_at", "timestamp"),
+        ("duration_seconds", "float"),
+        ("status", "string"),
+    ),
+    watermark="started_at",
+)
+
+
 @query
 def landing_roundtrip(lake: Lake) -> DataFrame:
-    """History landed, loaded to raw, one day landed and loaded again: row counts."""
+    """History landed, loaded to raw, one day landed and loaded again: rows per load
+    date, the same as after the first load."""
     root, raw_root = f"{lake.work()}/landing", f"{lake.work()}/raw"
-    day = "1998-02-03"
-    for name in ("orders", "sellers"):
-        table = get_table(name)
-        source = lake.raw(name)
-        landing.land_history(source, table, root, "2002-01-01")
+    day = "2024-01-09"
+    counted = []
+    for table, source in ((RUN_TABLE, lake.runs), (get_table("sellers"), lake.raw("sellers"))):
+        landing.land_history(source, table, root, "2024-01-01")
         raw.load_raw(lake.spark, table, root, raw_root, full=True)
         landing.land_day(source, table, root, day)
         raw.load_raw(lake.spark, table, root, raw_root, day)
-    counted = [
-        raw.read_raw(lake.spark, raw_root, name).agg(
-            F.lit(name).alias("table"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct("ingest_date").alias("partitions"),
+        loaded = raw.read_raw(lake.spark, raw_root, table.name)
+        counted.append(
+            loaded.groupBy("ingest_date")
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(table.name).alias("table"), "ingest_date", "row_count")
         )
-        for name in ("orders", "sellers")
-    ]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -154,16 +167,15 @@ def landing_roundtrip(lake: Lake) -> DataFrame:
 def backfill_days(lake: Lake) -> DataFrame:
     """A closed range of days landed in one job, rows per partition."""
     table, root = get_table("order_items"), f"{lake.work()}/landing"
-    landing.backfill(lake.raw("order_items"), table, root, "1996-01-10", "1996-03-20")
+    landing.backfill(lake.raw("order_items"), table, root, "1996-01-10", "1996-02-08")
     return reports.load_volume(landing.read_landed(lake.spark, root, table.name), 1000)
 
 
 @query
 def landing_metrics(lake: Lake) -> DataFrame:
     """Objects, partitions and bytes of a landed table."""
-    table, root = get_table("order_items"), f"{lake.work()}/landing"
-    path = landing.land_history(lake.raw("order_items"), table, root, "2002-01-01").uri
-    return files.storage_metrics(lake.spark, path)
+    landed = landing.land_history(lake.runs, RUN_TABLE, f"{lake.work()}/landing", "2024-01-01")
+    return files.storage_metrics(lake.spark, landed.uri)
 
 
 @query

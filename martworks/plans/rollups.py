@@ -48,7 +48,9 @@ def item_summary(items: DataFrame, products: DataFrame) -> DataFrame:
     is the one with the most revenue, the first by name among equals.
 
     Both branches combine on the map side before they shuffle, so an order that
-    holds a large share of all lines does not land whole in one task."""
+    holds a large share of all lines does not land whole in one task. They are put
+    under each other and folded rather than joined: a join would filter NULL keys on
+    one side only, and then the two branches could not share the deduplicated lines."""
     totals = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         F.count_distinct("product_id").alias("distinct_product_count"),
@@ -72,7 +74,10 @@ def item_summary(items: DataFrame, products: DataFrame) -> DataFrame:
             ).alias("primary_category")
         )
     )
-    return totals.join(dominant, "order_id", "left")
+    stacked = totals.unionByName(dominant, allowMissingColumns=True)
+    return stacked.groupBy("order_id").agg(
+        *[F.max(c).alias(c) for c in stacked.columns if c != "order_id"]
+    )
 
 
 def review_summary(reviews: DataFrame) -> DataFrame:
