@@ -39,6 +39,7 @@ class Build:
     backdate_first: str | None = None
     calendar: tuple[str, str] = (marts.CALENDAR_START, marts.CALENDAR_END)
     timings: list[tuple[str, float, datetime]] = field(default_factory=list)
+    _all_items: DataFrame | None = None
 
     @property
     def spark(self):
@@ -80,14 +81,26 @@ class Build:
         copies = self._matching("orders", candidates, "order_id")
         return upsert.since(staging.orders(copies, self.earliest), "purchased_date", start)
 
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Store a model that several later steps of this run read."""
+        path = self.warehouse.path(name, "intermediate")
+        self._timed(name, lambda: df.write.mode("overwrite").parquet(path))
+        return self.spark.read.parquet(path)
+
     def facts(self) -> dict[str, upsert.UpsertResult]:
         start = self._start()
         orders = self._orders(start)
         window = None if start is None else orders
         timeline = rollups.delivery_timeline(orders, self.grace_days)
         customers = staging.customers(self._matching("customers", window, "customer_id"))
-        context = rollups.order_context(timeline, customers)
-        items = staging.order_items(self._matching("order_items", window, "order_id"))
+        # Both facts read these two; storing them saves shuffling all lines and all
+        # orders once more for the second fact and for the product dimension.
+        context = self._keep("order_context", rollups.order_context(timeline, customers))
+        items = self._keep(
+            "stg_order_items",
+            staging.order_items(self._matching("order_items", window, "order_id")),
+        )
+        self._all_items = items if start is None else None
         products = staging.products(
             self.raw("products"),
             staging.category_translation(self.raw("product_category_translation")),
@@ -154,7 +167,7 @@ class Build:
                 staging.customers(self.raw("customers")), orders, geography
             ),
             "dim_products": marts.dim_products(
-                products, staging.order_items(self.raw("order_items"))
+                products, self._all_items or staging.order_items(self.raw("order_items"))
             ),
             "dim_sellers": marts.dim_sellers(
                 staging.sellers(self.raw("sellers")), sold, geography
