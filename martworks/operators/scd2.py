@@ -131,8 +131,8 @@ def history_violations(
 ) -> DataFrame:
     """``(key, violation)`` for every key that breaks a Type-2 invariant.
 
-    Overlap is found in one sorted pass instead of a self-join: an interval overlaps
-    an earlier one when the latest end seen before it lies after its start. A version
+    Overlap is found in sorted order instead of by a self-join: an interval overlaps an
+    earlier one when the latest end seen before it lies after its start. A version
     whose end is not after its start is probed at its end, where it overlaps exactly
     the intervals that contain it. Copies of one version are collapsed first, so the
     window sees distinct intervals only, whatever the number of copies."""
@@ -180,14 +180,27 @@ def history_violations(
         .groupBy(key, "_version", "_from", "_at", "_kind")
         .agg(F.max("_end").alias("_end"))
     )
-    before = (
-        Window.partitionBy(key)
+    # A key may hold a large share of all versions, so its intervals are cut into days:
+    # the latest end of earlier days comes from a small aggregate (a row per key and
+    # day), the rest from a window inside the day.
+    sliced = probes.where(F.col("_at").isNotNull()).withColumn("_day", F.to_date("_at"))
+    earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = (
+        sliced.groupBy(key, "_day")
+        .agg(F.max("_end").alias("_end"))
+        .select(key, "_day", F.max("_end").over(earlier_days).alias("_carried"))
+    )
+    same_day = (
+        Window.partitionBy(key, "_day")
         .orderBy("_at", "_kind", "_version")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     overlapping = (
-        probes.withColumn("_latest_end", F.max("_end").over(before))
-        .where(F.col("_latest_end") > F.col("_from"))
+        sliced.withColumn("_within", F.max("_end").over(same_day))
+        .join(carried, [key, "_day"])
+        .where(F.greatest("_carried", "_within") > F.col("_from"))
         .select(key, F.lit("versions overlap in time").alias("violation"))
         .distinct()
     )

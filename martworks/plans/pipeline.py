@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 from time import monotonic
 
 from pyspark.sql import DataFrame
@@ -17,10 +18,22 @@ from martworks.operators import scd2, upsert
 from martworks.plans import marts, rollups, staging
 from martworks.plans.reports import RUN_METRICS_SCHEMA
 from martworks.plans.warehouse import CLUSTER_COLUMNS, Warehouse, by_month
+from martworks.quality import checks, declared, invariants
 from martworks.session import cut_lineage
 from martworks.sources import files
 
 SELLER_CHECK_COLUMNS = ("seller_city", "seller_state", "zip_code_prefix")
+MARTS = (
+    "fct_orders",
+    "fct_order_items",
+    "dim_customers",
+    "dim_products",
+    "dim_sellers",
+    "dim_geography",
+    "dim_date",
+    "agg_daily_performance",
+    "dim_sellers_history",
+)
 FACT_KEYS = {"fct_orders": ["order_key"], "fct_order_items": ["order_item_key"]}
 
 
@@ -215,6 +228,77 @@ class Build:
         self.history()
         return results
 
+    # tests of what was built
+
+    def marts(self) -> dict[str, DataFrame]:
+        return {name: self.warehouse.read(name) for name in MARTS}
+
+    def check(self) -> DataFrame:
+        """Declared checks and invariants on the stored marts: one row per check with
+        its failures and status. Failing rows are stored for inspection."""
+        tables = self.marts()
+        folder = self.warehouse.path("", "test_failures")
+        declared_results = cut_lineage(
+            checks.with_severity(checks.run_checks(tables, declared.MART_CHECKS))
+        )
+        failed = {
+            (r["model"], r["check"], r["column"])
+            for r in declared_results.where(F.col("status") != "pass").collect()
+        }
+        for check in declared.MART_CHECKS:
+            if (check.model, check.kind, check.column) in failed:
+                checks.store_violations(check, tables, folder)
+        results = [declared_results]
+        for name, broken, limits in self._invariants(tables):
+            path = f"{folder.rstrip('/')}/{name}"
+            broken.write.mode("overwrite").parquet(path)
+            stored = self.spark.read.parquet(path)
+            counted = stored.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(name).alias("model"),
+                F.lit("invariant").alias("check"),
+                F.lit("").alias("column"),
+                "failures",
+            )
+            results.append(checks.with_severity(counted, *limits))
+        return reduce(DataFrame.unionByName, results)
+
+    def _invariants(self, t: dict[str, DataFrame]):
+        orders, lines = t["fct_orders"], t["fct_order_items"]
+        exact = (None, 0)
+        return [
+            (
+                "agg_reconciles_to_fact",
+                invariants.agg_reconciles_to_fact(lines, t["agg_daily_performance"]),
+                exact,
+            ),
+            ("delivery_sla_is_plausible", invariants.implausible_sla(orders), exact),
+            (
+                "no_impossible_dates",
+                invariants.impossible_dates(
+                    orders, F.lit(self.as_of).cast("timestamp_ntz"), self.earliest
+                ),
+                exact,
+            ),
+            (
+                "orders_are_complete",
+                invariants.incomplete_orders(orders),
+                (invariants.INCOMPLETE_WARN_ABOVE, invariants.INCOMPLETE_ERROR_ABOVE),
+            ),
+            (
+                "lines_roll_up_to_orders",
+                invariants.lines_roll_up_to_orders(lines, orders),
+                exact,
+            ),
+            ("payments_settle_orders", invariants.unsettled_orders(orders), exact),
+            (
+                "history_is_well_formed",
+                scd2.history_violations(
+                    t["dim_sellers_history"], "seller_key", "seller_version_key"
+                ),
+                exact,
+            ),
+        ]
+
     def run_metrics(self, dag_id: str, run_id: str) -> DataFrame:
         """One row per step of this run, in the run-metrics schema."""
         rows = [

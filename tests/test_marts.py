@@ -138,6 +138,11 @@ def test_incremental_build_equals_full_refresh(spark, raw, lake, folder):
     for name in ("fct_orders", "fct_order_items", "agg_daily_performance", "dim_customers", "dim_sellers", "dim_products"):
         assert same(wh.read(name), other.read(name)), name
     assert same(other.read("fct_orders"), lake.fct_orders.select(*other.read("fct_orders").columns))
+    status = {(r["model"], r["check"], r["column"]): r["status"] for r in full.check().collect()}
+    assert len(status) == 65 + 7
+    assert {k for k, v in status.items() if v != "pass"} == {("orders_are_complete", "invariant", "")}
+    assert status["orders_are_complete", "invariant", ""] == "warn"
+    assert other.read("orders_are_complete", "test_failures").count() > 0
     metrics = full.run_metrics("daily", "r1")
     assert metrics.where("duration_seconds > 0").count() == 12
 
