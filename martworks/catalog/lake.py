@@ -51,6 +51,11 @@ class Lake:
         getattr(self, name).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def keep(self, *names: str) -> None:
+        """Store models that several others read; those then read the stored copy."""
+        for name in names:
+            self.__dict__[name] = self.stored(name)
+
     # staging
 
     @cached_property

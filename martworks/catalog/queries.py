@@ -300,6 +300,8 @@ def _raw_tables(lake: Lake) -> dict[str, DataFrame]:
 
 
 def _models(lake: Lake, wanted, stored: bool = True) -> dict[str, DataFrame]:
+    if stored:
+        lake.keep("stg_order_items", "order_context")
     names = {c.model for c in wanted} | {c.parent for c in wanted if c.parent}
     return {n: lake.stored(n) if stored else getattr(lake, n) for n in sorted(names)}
 
@@ -326,6 +328,7 @@ def checks_intermediate(lake: Lake) -> DataFrame:
 
 @query
 def checks_marts(lake: Lake) -> DataFrame:
+    lake.keep("stg_order_items", "order_context", "fct_order_items")
     return checks.run_checks(_models(lake, declared.MART_CHECKS), declared.MART_CHECKS)
 
 
@@ -478,6 +481,7 @@ def sla_implausible(lake: Lake) -> DataFrame:
 
 @query
 def expectation_summary(lake: Lake) -> DataFrame:
+    lake.keep("stg_order_items", "order_context", "fct_order_items")
     tables = {
         n: lake.stored(n) for n in ("fct_orders", "fct_order_items", "agg_daily_performance")
     }

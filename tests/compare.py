@@ -39,6 +39,7 @@ def rows_of(columns, rows) -> list[tuple]:
     return sorted((tuple(_cell(r[i]) for i in order) for r in rows), key=repr)
 
 
+LAST: dict[str, float] = {}
 SPARK_KIND = {
     "bigint": "int", "double": "float", "string": "str", "boolean": "bool", "date": "date",
     "timestamp_ntz": "ts", "timestamp": "ts",
@@ -50,7 +51,9 @@ DUCK_KIND = {
 
 
 def differences(df, con, sql) -> tuple[str, int]:
+    began = time.time()
     got = rows_of(df.columns, df.collect())
+    LAST["collect"] = time.time() - began
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     raw = result.fetchall()
@@ -89,8 +92,10 @@ def main() -> int:
         if args and name not in args:
             continue
         began = time.time()
+        built = 0.0
         try:
             df = build(spark, sf_dir)
+            built = time.time() - began
             if name not in answers:
                 print(f"ROWS  {name}: {df.count()} rows, {time.time() - began:.1f}s", flush=True)
                 continue
@@ -98,7 +103,7 @@ def main() -> int:
         except Exception as error:  # report and go on with the next query
             problem, n = f"{type(error).__name__}: {str(error)[:700]}", -1
         failed += bool(problem)
-        print(f"{'FAIL' if problem else 'ok':5} {name}: {n} rows, {time.time() - began:.1f}s {problem}", flush=True)
+        print(f"{'FAIL' if problem else 'ok':5} {name}: {n} rows, {time.time() - began:.1f}s, of it Spark {built + LAST.get('collect', 0):.1f}s {problem}", flush=True)
     print(f"{failed} failed")
     return int(failed > 0)
 
