@@ -71,10 +71,16 @@ class Build:
 
     def _start(self) -> date | None:
         """First purchase date to recompute, None for everything."""
-        if self.full_refresh or not self.warehouse.exists("fct_orders"):
+        if self.full_refresh or not all(self.warehouse.exists(f) for f in FACT_KEYS):
             return None
-        stored = self.warehouse.read("fct_orders")
-        return upsert.lookback_start(stored, "purchased_date", self.lookback_days)
+        # The newest orders may have no lines yet; the earlier start serves both facts.
+        starts = [
+            upsert.lookback_start(
+                self.warehouse.read(fact), "purchased_date", self.lookback_days
+            )
+            for fact in FACT_KEYS
+        ]
+        return None if None in starts else min(starts)
 
     def _matching(self, table: str, keys: DataFrame | None, key: str) -> DataFrame:
         """Raw rows whose key occurs in ``keys``. The restriction is by (part of) the
