@@ -120,7 +120,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                     del stack[i:]
                     break
             outside, article = stack[-1][1:] if stack else (False, False)
-        elif tag not in _VOID and not m[3].endswith("/"):
+        elif tag not in _VOID:
             own = _is_outside(tag, m[3])
             if tag in _ARTICLE and not own and not article:
                 outside = False  # an article does not lie in a menu that was never closed
@@ -144,6 +144,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     out = []
     for x in lines:
         joined = " ".join(html.unescape("".join(x.parts)).split())
+        if x.outside and out and not out[-1][1]:
+            continue  # what is left out between two lines of text takes one line
         if joined:
             wordy = not x.outside and x.linked <= LINKED * len(joined)
             out.append((joined, len(joined) if wordy or x.article and not x.outside else 0, x.article))
@@ -164,7 +166,10 @@ def regions(lengths: list[int], surge: int) -> list[tuple[int, int]]:
             peak = max(peak, sums[end])
             end += 1
         last = max(j for j in range(i, min(end + WINDOW, n)) if lengths[j])
-        found.append((i, last + 1, peak))
+        first = i
+        while first and lengths[first - 1] and (not found or first > found[-1][1]):
+            first -= 1  # short lines right before the surge, such as a heading
+        found.append((first, last + 1, peak))
         i = last + 1
     highest = max((p for _, _, p in found), default=0)
     return [(a, b) for a, b, p in found if surge <= 1 or p >= PEAK * highest]

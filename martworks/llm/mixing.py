@@ -133,7 +133,9 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, block_words: int =
     classes = plan.select("source").distinct().withColumn("listed", F.lit(True))
     own = [c for c in docs.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_order")]
     rows = docs.select(
-        *own,
+        F.struct(*own).alias("own"),  # so that no name of theirs can clash
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
         F.xxhash64("doc_id", "text").alias("_h"),
         (F.length(F.coalesce("text", F.lit(""))) - F.length(
             F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(" ")), F.lit("\n"))
@@ -171,7 +173,7 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, block_words: int =
         & (F.pmod(F.col("mix_block"), F.col("_parts")) + 1 == F.col("_n")),
     )
     return placed.select(
-        *own,
+        *(F.col("own").getField(c).alias(c) for c in own),
         "mix_source",
         F.col("mix_block").cast("long").alias("mix_block"),
         (F.floor(F.col("mix_block") / F.col("_parts")) * PERIOD + F.col("_slot")).cast("long").alias("mix_slot"),

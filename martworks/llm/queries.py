@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.llm import common, host_quality, language_id, line_blocks, mixing, near_duplicates, packing, pii
+from martworks.llm import (
+    common, content_chunks, cover_tree, host_quality, language_id, line_blocks, mixing, near_duplicates, neural_lm,
+    packing, pii,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,16 +38,33 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "mix_block", "mix_slot", "mix_order"
     )
 
 
+def op7_neural_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.coalesce(common.crc_mod(F.col("doc_id"), 7) != 2, F.lit(True))
+    return neural_lm.scored(_table(spark, sf_dir, "documents"), learn).select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(_table(spark, sf_dir, "documents")))
 
 
+def op9_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_chunks.passages(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "first"
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -54,7 +74,10 @@ QUERIES = {
     "op2_host_quality": op2_host_quality,
     "op3_main_text": op3_main_text,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_cover_tree": op5_cover_tree,
     "op6_mixing": op6_mixing,
+    "op7_neural_lm": op7_neural_lm,
     "op8_pii": op8_pii,
+    "op9_content_chunks": op9_content_chunks,
     "op10_packing": op10_packing,
 }
