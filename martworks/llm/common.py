@@ -37,7 +37,7 @@ def folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a step once and go on from the file: the lineage ends here."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -19,6 +19,7 @@ Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,9 @@ WORDS = 1000
 BANDS = 40
 SIZE, NOISE, BATCH, RATE = 24, 64, 2048, 0.05
 ROUNDS = 2
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+#: A word's place is its block's number and, in so many bits, its own in the block.
+PLACE_BITS = 24
 #: Places of the special outputs, then classes, then words.
 START, END = 0, 1
 FIRST_BAND = 2
@@ -49,24 +52,29 @@ _BLOCK = (
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each block of texts: its distinct words with their training counts,
-    and the texts as numbers of these words."""
+    and the texts as numbers of these words, small numbers for frequent ones."""
     number = 0
     for batch in common.chunks(batches, "text", BLOCK_BYTES):
-        words, places = common.word_hashes(batch.column("text"))
-        distinct, codes = np.unique(words, return_inverse=True)
+        parts = [common.word_hashes(x.column("text")) for x in common.chunks([batch], "text")]
+        words = np.concatenate([w for w, _ in parts])
+        places = np.cumsum(np.concatenate(([0], *(np.diff(p) for _, p in parts))))
+        distinct, codes, often = np.unique(words, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        distinct, codes = distinct[order], rank[codes]
         learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
         sizes = np.diff(places)
         counts = np.bincount(codes[np.repeat(learn, sizes)], minlength=len(distinct))
-        block = (batch.column("task")[0].as_py() << 32) + number
+        block = (batch.column("task")[0].as_py() << 16) + number
         number += 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),
-                pa.array([batch.column("doc_id").to_numpy(zero_copy_only=False)], pa.list_(pa.int64()))
-                if not batch.column("doc_id").null_count else pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
                 pa.array([learn], pa.list_(pa.bool_())),
                 pa.array([sizes.astype(np.int32)], pa.list_(pa.int32())),
-                pa.array([codes.astype(np.int32).tobytes()], pa.binary()),
+                pa.array([zlib.compress(codes.astype(np.int32).tobytes(), 1)], pa.binary()),
                 pa.array([distinct.view(np.int64)], pa.list_(pa.int64())),
                 pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
             ],
@@ -299,10 +307,12 @@ def scored(docs: DataFrame, learn: Column) -> DataFrame:
         f"{path}/counts",
     )
     vocab = vocabulary(counts, texts)
-    wanted = blocks.select("block", F.posexplode("hashes").alias("at", "h"))
-    known = wanted.join(counts, "h").groupBy("block").agg(
-        F.collect_list(F.struct("at", "c")).alias("known")
-    ).select("block", F.col("known.at").alias("at"), F.col("known.c").alias("c"))
+    wanted = blocks.select("block", F.posexplode("hashes").alias("at", "h")).select(
+        "h", F.shiftleft("block", PLACE_BITS).bitwiseOR(F.col("at").cast("long")).alias("place")
+    )
+    known = wanted.join(counts, "h").groupBy(F.shiftright("place", PLACE_BITS).alias("block")).agg(
+        F.collect_list(F.struct("place", "c")).alias("known")
+    ).select("block", F.col("known.place").alias("at"), F.col("known.c").alias("c"))
     total, distinct = vocab.tokens, vocab.distinct
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,10 +323,10 @@ def scored(docs: DataFrame, learn: Column) -> DataFrame:
                 hashes = get("hashes").to_numpy()
                 c = np.zeros(len(hashes), np.int64)
                 if batch.column("at")[i].is_valid:
-                    c[get("at").to_numpy()] = get("c").to_numpy()
+                    c[get("at").to_numpy() & ((1 << PLACE_BITS) - 1)] = get("c").to_numpy()
                 place, share = vocab.encode(hashes, c)
                 base = np.log10((c + 1) / (total + distinct + 1))
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
+                codes = np.frombuffer(zlib.decompress(batch.column("codes")[i].as_py()), np.int32)
                 sizes = get("sizes").to_numpy()
                 ends = np.cumsum(sizes)
                 sums = [np.concatenate(([0], np.cumsum(x[codes]))) for x in (base, share, c > 0)]
