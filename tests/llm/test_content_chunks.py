@@ -26,10 +26,10 @@ def test_rolling_hash():
     rnd = np.random.default_rng(1)
     raw = rnd.integers(0, 256, 300).astype(np.uint8)
     h = content_chunks.gear(raw)
-    for i in (0, 5, 31, 32, 299):
+    for i in (0, 5, 15, 16, 299):
         want = 0
-        for b in raw[max(0, i - 31) : i + 1].tolist():
-            want = ((want << 1) + int(content_chunks._GEAR[b])) % (1 << 32)
+        for b in raw[max(0, i - 15) : i + 1].tolist():
+            want = ((want << 1) + int(content_chunks._GEAR[b])) % (1 << 16)
         assert h[i] == want
 
 
@@ -69,6 +69,8 @@ def test_planted_passages(spark):
             planted.append(i)
     line = _words(9, 42)
     rows += [(600 + i, f"{line}\n{_words(80, 7000 + i)}") for i in range(50)]  # a common short line
+    shorter = _words(30, 43)
+    rows += [(700 + i, f"{_words(30, 7500 + i)} {shorter} {_words(40, 7600 + i)}") for i in range(9)]
     found = content_chunks.passages(_docs(spark, rows)).collect()
     assert {r.doc_id for r in found} <= set(planted)
     assert len({r.doc_id for r in found}) >= 0.96 * len(planted)
