@@ -28,7 +28,9 @@ END = 2
 #: Pieces in a group on average: its padding is at most about one sequence in 400.
 GROUP_PIECES = 4000
 #: Words whose ids a Python worker remembers; a memory bound that changes no result.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
+#: Bytes of text whose distinct words are looked up together.
+TOGETHER = 16 << 20
 
 PIECES = (
     "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -88,7 +90,8 @@ class WordTokenizer:
         at the end); a null text has none."""
         words = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
         codes = words.flatten().dictionary_encode()
-        coded = [self.word(w) if w else b"" for w in codes.dictionary.to_pylist()]
+        known = self.words.get
+        coded = [known(w) or (self.word(w) if w else b"") for w in codes.dictionary.to_pylist()]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
         flat = np.frombuffer(b"".join(coded), np.uint32)
         index = codes.indices.to_numpy(zero_copy_only=False)
@@ -130,7 +133,7 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for chunk in common.chunks(batches, "text", 8 << 20):
+        for chunk in common.chunks(batches, "text", TOGETHER):
             ids, places = own.encode(chunk.column("text"))
             ids = np.insert(ids, places[1:], END).astype(np.int32)
             places = places + np.arange(len(places))
@@ -160,7 +163,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, segme
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for chunk in common.chunks(batches, "text", 8 << 20):
+        for chunk in common.chunks(batches, "text", TOGETHER):
             ids, places = own.encode(chunk.column("text"))
             row, start, size, crc, total = [], [], [], [], []
             for i, (a, b) in enumerate(zip(places[:-1].tolist(), places[1:].tolist())):
