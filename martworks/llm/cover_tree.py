@@ -35,7 +35,7 @@ SAMPLE, CENTRES = 20_000, 2048
 PER_CENTRE, BLOCK = 2000, 2000
 LEAF = 32
 #: Rounding never prunes a pair or counts one: bounds are loosened by this.
-SLACK = 1e-7
+SLACK = 1e-6
 
 
 class CoverTree:
@@ -101,43 +101,69 @@ def dual_links(
     counts = np.zeros(len(left.x) + (0 if within else len(other.x)))
     groups = _Groups(len(counts))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    todo = [(0, 0)] if len(left.x) and len(other.x) else []
+    todo: list[tuple[int, int, float]] = []
+    single = [np.array([len(m) == 1 for m in t.members], bool) for t in (left, other)]
+
+    def compare_points(a: np.ndarray, b: np.ndarray) -> None:
+        i, j = np.array(left.centre)[a], np.array(other.centre)[b]
+        hit = np.einsum("ij,ij->i", left.x[i], other.x[j]) >= cosine
+        i, j = i[hit], j[hit] + shift
+        np.add.at(counts, i, weights[j])
+        np.add.at(counts, j, weights[i])
+        for u, v in zip(i.tolist(), j.tolist()):
+            groups.join(u, v)
+
+    def meet(p: list[int], q: list[int], same: bool) -> None:
+        """Keep the pairs of nodes that may hold a link, some rows at a time."""
+        p, q = np.array(p), np.array(q)
+        cq, rq = other.x[np.array(other.centre)[q]], np.array(other.radius)[q]
+        rows = max(1, (1 << 18) // len(q))
+        for k in range(0, len(p), rows):
+            part = p[k : k + rows]
+            c, r = left.x[np.array(left.centre)[part]], np.array(left.radius)[part]
+            d = np.sqrt(np.clip(2 - 2 * (c @ cq.T), 0, None))
+            near = d <= r[:, None] + rq + epsilon + SLACK
+            if same:
+                near &= np.arange(k, k + len(part))[:, None] <= np.arange(len(q))
+            i, j = np.nonzero(near)
+            a, b = part[i], q[j]
+            points = single[0][a] & single[1][b]
+            if within:
+                points &= a != b
+            compare_points(a[points], b[points])
+            rest = ~points
+            todo.extend(zip(a[rest].tolist(), b[rest].tolist(), d[i, j][rest].tolist()))
+
+    if len(left.x) and len(other.x):
+        meet([0], [0], within)
     while todo:
-        a, b = np.array(todo).T
-        ra, rb = np.array(left.radius)[a], np.array(other.radius)[b]
-        d = np.linalg.norm(left.x[np.array(left.centre)[a]] - other.x[np.array(other.centre)[b]], axis=1)
-        near = d <= ra + rb + epsilon + SLACK
-        inside = near & (d + ra + rb <= epsilon - SLACK)
-        todo = []
-        for k in np.flatnonzero(near).tolist():
-            p, q = int(a[k]), int(b[k])
-            mine, theirs = left.members[p], other.members[q]
-            same = within and p == q
-            if inside[k]:
-                mine_all, theirs_all = weights[mine].sum(), weights[theirs + shift].sum()
-                counts[mine] += theirs_all - (weights[mine] if same else 0)
-                if not same:
-                    counts[theirs + shift] += mine_all
-                for i in mine.tolist():
-                    groups.join(i, int(theirs[0]) + shift)
-                for j in theirs.tolist():
-                    groups.join(int(mine[0]), j + shift)
-            elif not left.children[p] and not other.children[q]:
-                linked = left.x[mine] @ other.x[theirs].T >= cosine
-                if same:
-                    np.fill_diagonal(linked, False)
-                counts[mine] += linked @ weights[theirs + shift]
-                if not same:
-                    counts[theirs + shift] += linked.T @ weights[mine]
-                for i, j in zip(*np.nonzero(linked)):
-                    groups.join(int(mine[i]), int(theirs[j]) + shift)
-            elif same:
-                nodes = left.children[p]
-                todo += [(u, v) for i, u in enumerate(nodes) for v in nodes[i:]]
-            elif not other.children[q] or left.children[p] and left.radius[p] >= other.radius[q]:
-                todo += [(u, q) for u in left.children[p]]
-            else:
-                todo += [(p, v) for v in other.children[q]]
+        p, q, d = todo.pop()
+        mine, theirs = left.members[p], other.members[q]
+        same = within and p == q
+        if d + left.radius[p] + other.radius[q] <= epsilon - SLACK:
+            mine_all, theirs_all = weights[mine].sum(), weights[theirs + shift].sum()
+            counts[mine] += theirs_all - (weights[mine] if same else 0)
+            if not same:
+                counts[theirs + shift] += mine_all
+            for i in mine.tolist():
+                groups.join(i, int(theirs[0]) + shift)
+            for j in theirs.tolist():
+                groups.join(int(mine[0]), j + shift)
+        elif not left.children[p] and not other.children[q]:
+            linked = left.x[mine] @ other.x[theirs].T >= cosine
+            if same:
+                np.fill_diagonal(linked, False)
+            counts[mine] += linked @ weights[theirs + shift]
+            if not same:
+                counts[theirs + shift] += linked.T @ weights[mine]
+            for i, j in zip(*np.nonzero(linked)):
+                groups.join(int(mine[i]), int(theirs[j]) + shift)
+        elif same:
+            meet(left.children[p], left.children[p], True)
+        elif not other.children[q] or left.children[p] and left.radius[p] >= other.radius[q]:
+            meet(left.children[p], [q], False)
+        else:
+            meet([p], other.children[q], False)
     return counts, np.array([groups.find(i) for i in range(len(counts))], dtype=np.int64)
 
 
