@@ -51,7 +51,7 @@ def test_round_trip(documents):
 
 def test_ids_of_odd_texts():
     texts = [r[1] for r in brute.ODD if r[1] is None or len(r[1]) < 10_000]
-    texts += ["<|endoftext|> a<|ENDOFTEXT|>b", "it's Dogs', end. x,. É. ñ, 3. ₂² ǅ ﬁ́ \x1c\x85  İ ß. Ω, Å"]
+    texts += ["<|endoftext|> a<|ENDOFTEXT|>b", "it's Dogs', THE!! of.&&& a<b> x<|endoftext|> (in) thnd***, it's.'', end. x,. É. ñ, 3. ₂² ǅ ﬁ́ \x1c\x85  İ ß. Ω, Å"]
     ids, places = packing.WordTokenizer(packing.default_tokenizer()).encode(pa.array(texts))
     for i, want in enumerate(_ids(texts)):
         assert ids[places[i] : places[i + 1]].tolist() == want[:-1], texts[i]
