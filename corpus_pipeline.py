@@ -16,7 +16,7 @@ from martworks.llm import common, language_id, mixing, near_duplicates, packing,
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model accepts; it is fitted on their own labels."""
-    common.ship(spark)
+    common.prepare(spark)
     return language_id.accepted_rows(docs, language_id.fit(docs))
 
 
@@ -65,7 +65,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    common.ship(spark)
+    common.prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = common.folder(spark)
     for name, stage in STAGES[:-1]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -53,6 +54,32 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    release()
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def release() -> None:
+    """Give memory back to the system that this worker has used and freed: it waits idle
+    for its next task beside other processes."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -182,8 +209,20 @@ def components(edges: DataFrame, path: str) -> DataFrame:
     )
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, where their Python does not find it by itself."""
+#: Bounds of a batch that goes to Python, in place of Spark's defaults of 10,000 rows of
+#: any size; a value that the session has set otherwise stays.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": (str(2**31 - 1), str(16 << 20)),
+}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the batches that go to Python, and give the executors this package where
+    their Python does not find it by itself."""
+    for key, (default, own) in BATCHES.items():
+        if spark.conf.get(key, default) in (default, f"{default}b"):
+            spark.conf.set(key, own)
     root = Path(__file__).resolve().parents[2]
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if any(p and Path(p).resolve() == root for p in known) or "site-packages" in root.parts:

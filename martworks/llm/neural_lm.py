@@ -54,7 +54,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each block of texts: its distinct words with their training counts,
     and the texts as numbers of these words, small numbers for frequent ones."""
     number = 0
-    for batch in common.chunks(batches, "text", BLOCK_BYTES):
+    for batch in common.gathered(batches, "text", BLOCK_BYTES):
         parts = [common.word_hashes(x.column("text")) for x in common.chunks([batch], "text")]
         words = np.concatenate([w for w, _ in parts])
         places = np.cumsum(np.concatenate(([0], *(np.diff(p) for _, p in parts))))
@@ -68,6 +68,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.bincount(codes[np.repeat(learn, sizes)], minlength=len(distinct))
         block = (batch.column("task")[0].as_py() << 16) + number
         number += 1
+        common.release()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()),

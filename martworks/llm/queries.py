@@ -12,7 +12,7 @@ from martworks.llm import (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    common.ship(spark)
+    common.prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
