@@ -170,7 +170,9 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
     for rows in parts.values():
         if len(rows) > 1:
             out += links(ids[rows], [sets[i] for i in rows])
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    found = pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    common.release()
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

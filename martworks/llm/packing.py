@@ -30,11 +30,11 @@ END = 2
 GROUP_PIECES = 4000
 #: Words whose ids a Python worker remembers: those used lately, up to twice as many. A
 #: memory bound that changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 #: Marks that are tokenised apart from the letters before them.
 ENDINGS = ".,;:!?#*$%&|<>)"
 #: Bytes of text whose distinct words are looked up together.
-TOGETHER = 4 << 20
+TOGETHER = 1 << 20
 
 PIECES = (
     "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
