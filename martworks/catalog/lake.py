@@ -9,10 +9,11 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.catalog.testdata import RAW_TABLES, SELLER_SNAPSHOTS, SOURCES
+from martworks.catalog.testdata import RAW_TABLES, SELLER_SNAPSHOTS, SOURCES, SPARK_NAMES
 from martworks.operators.scd2 import snapshot_check
 from martworks.plans import marts, rollups, staging
 from martworks.session import shared_dir
+from martworks.sources import files
 
 # First order date taken as valid in the test tables, which start in January 1995.
 EARLIEST = "1995-02-01"
@@ -21,9 +22,14 @@ SELLER_CHECK_COLUMNS = ("seller_city", "seller_state", "zip_code_prefix")
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    """``work_dir`` is where stored steps go, by default the session's shared folder.
+    :meth:`close` removes them; a result that reads them has to be used before."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, work_dir: str | None = None) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self.work_dir = work_dir
+        self._folder: str | None = None
         self.work = cache(self._work)
         self.src = cache(self._src)
         self.stored = cache(self._stored)
@@ -36,14 +42,29 @@ class Lake:
         frames = {
             n: self.stg_order_items if n == "stg_order_items" else self.table(n) for n in needs
         }
-        return self.spark.sql(sql.replace("{ts}", "timestamp_ntz"), **frames)
+        for name, own in SPARK_NAMES.items():
+            sql = sql.replace(f"{{{name}}}", own)
+        return self.spark.sql(sql, **frames)
 
     def raw(self, table: str) -> DataFrame:
         return self.src(RAW_TABLES[table])
 
     def _work(self) -> str:
-        """A fresh folder under the shared directory."""
-        return f"{shared_dir(self.spark)}/martworks-{uuid.uuid4().hex[:12]}"
+        """A folder of this lake's own."""
+        root = self.work_dir or shared_dir(self.spark)
+        self._folder = f"{root.rstrip('/')}/martworks-{uuid.uuid4().hex[:12]}"
+        return self._folder
+
+    def close(self) -> None:
+        """Remove everything this lake has stored."""
+        if self._folder:
+            files.delete(self.spark, self._folder)
+
+    def __enter__(self) -> Lake:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
     def _stored(self, name: str) -> DataFrame:
         """A model written once and read back, for queries that use it many times."""
@@ -144,18 +165,7 @@ class Lake:
 
     @cached_property
     def order_values(self) -> DataFrame:
-        """Orders with person and item total: what the lifetime measures need. Without
-        the stored order fact this is far less work than computing that fact."""
-        totals = self.stg_order_items.groupBy("order_id").agg(
-            F.sum("item_total").alias("order_total")
-        )
-        person = self.stg_customers.select("customer_id", "customer_unique_id")
-        return (
-            self.stg_orders.select("order_id", "customer_id", "purchased_date")
-            .join(totals, "order_id", "left")
-            .join(person, "customer_id", "inner")
-            .withColumn("order_total", F.coalesce("order_total", F.lit(0)))
-        )
+        return rollups.order_values(self.stg_orders, self.stg_order_items, self.stg_customers)
 
     @cached_property
     def dim_customers(self) -> DataFrame:

@@ -5,7 +5,7 @@ Each answer is one statement: the CTEs a query needs, then its final select."""
 from __future__ import annotations
 
 from martworks.catalog.lake import AS_OF, EARLIEST
-from martworks.catalog.queries import INCREMENTAL_FROM, SUITE_BOUNDS
+from martworks.catalog.queries import INCREMENTAL_FROM, SUITE_BOUNDS, TIGHT_BOUNDS
 from martworks.catalog.testdata import RAW_TABLES, SELLER_SNAPSHOTS, SOURCES
 from martworks.functions.columns import REGION_STATES, UNKNOWN_REGION
 from martworks.quality import declared
@@ -13,7 +13,10 @@ from martworks.quality.suites import build_suites
 from martworks.sources.registry import get_table
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
-    name: (needs, sql.format(ts="timestamp", **{n: n for n in needs}))
+    name: (
+        needs,
+        sql.format(ts="timestamp", each="unnest", list="list_value", **{n: n for n in needs}),
+    )
     for name, (needs, sql) in SOURCES.items()
 }
 ORACLE: dict[str, str] = {}
@@ -504,8 +507,8 @@ where shipping_limit_date is null or (shipping_limit_date >= timestamp '1997-03-
 answer(
     "landed_by_day",
     "src_orders",
-    """select cast(order_purchase_timestamp as date) ingest_date, count(*) row_count
-from src_orders group by 1""",
+    """select coalesce(cast(order_purchase_timestamp as date), date '2002-01-01') ingest_date,
+  count(*) row_count from src_orders group by 1""",
 )
 answer(
     "landing_roundtrip",
@@ -514,17 +517,68 @@ answer(
 from src_runs group by 2
 union all select 'sellers', date '2024-01-09', count(*) from src_sellers""",
 )
+answer(
+    "landed_lineage",
+    "src_orders src_sellers",
+    """select "table", row_count, source_file, cast(1 as bigint) files, cast(1 as bigint) "days",
+  cast(0 as bigint) without_time, cast(1 as bigint) runs from (
+  select 'orders' as "table", count(*) row_count, 'orders.csv' source_file from src_orders
+  where order_purchase_timestamp is null
+    or cast(order_purchase_timestamp as date) = date '1999-03-03'
+  union all select 'sellers', count(*), 'sellers.csv' from src_sellers) t""",
+)
+answer(
+    "widened_files",
+    "src_orders",
+    """select channel, count(*) row_count, count(distinct d) "days" from (
+  select null as channel, cast(d as date) d
+  from src_orders, range(date '1999-03-01', date '1999-03-11', interval 1 day) days(d)
+  where d <> date '1999-03-04' and (order_purchase_timestamp is null
+    or cast(order_purchase_timestamp as date) = cast(d as date))
+  union all
+  select case when order_status = 'delivered' then 'shop' else 'app' end, date '1999-03-04'
+  from src_orders where order_purchase_timestamp is null
+    or cast(order_purchase_timestamp as date) = date '1999-03-03') x group by 1""",
+)
+answer(
+    "load_results",
+    "src_order_items src_sellers",
+    """select 'all' step, 'order_items' as "table", count(*) row_count, cast(null as string) as "day"
+from src_order_items, range(5) days(d) where shipping_limit_date is null
+  or cast(shipping_limit_date as date) = date '1999-03-01' + cast(d as int)
+union all select 'all', 'sellers', 5 * count(*), null from src_sellers
+union all select 'day', 'order_items', count(*), '1999-03-03' from src_order_items
+  where shipping_limit_date is null or cast(shipping_limit_date as date) = date '1999-03-03'
+union all select 'day', 'sellers', count(*), null from src_sellers""",
+)
+answer(
+    "stored_descriptions",
+    "dim_sellers",
+    """select 'seller_key' as "column", 'Seller id of the source' as comment,
+  count(seller_key) as "values" from dim_sellers
+union all select 'order_count', 'Orders with a line of the seller', count(order_count) from dim_sellers
+union all select 'late_delivery_rate', 'Late orders per delivered order; NULL without any',
+  count(late_delivery_rate) from dim_sellers""",
+)
+answer(
+    "landing_metrics",
+    "src_runs src_sellers",
+    """select 'runs' as "table", count(distinct cast(started_at as date)) partitions,
+  count(*) row_count from src_runs
+union all select 'sellers', 1, count(*) from src_sellers""",
+)
 answer(
     "backfill_days",
     "src_order_items",
-    """select cast(shipping_limit_date as date) ingest_date, count(*) row_count
-from src_order_items where cast(shipping_limit_date as date)
-  between date '1996-01-10' and date '1996-02-08' group by 1""",
+    """select cast(d as date) ingest_date, count(*) row_count
+from src_order_items, range(date '1996-01-10', date '1996-02-09', interval 1 day) days(d)
+where shipping_limit_date is null or cast(shipping_limit_date as date) = cast(d as date)
+group by 1""",
 )
 answer(
     "window_intersection",
     "src_orders",
-    "select order_id from src_orders where order_purchase_timestamp is null",
+    "select distinct order_id from src_orders where order_purchase_timestamp is null",
 )
 answer(
     "seller_key_drift",
@@ -590,7 +644,31 @@ answer(
   select seller_key from dim_sellers_history group by 1 having count(*) > 1
   order by 1 limit 3)""",
 )
-answer("incremental_equals_full", "fct_orders", _shared_types("fct_orders"))
+# The order fact as the later raw rows give it: first payments and first reviews only.
+_LATER = {"stg_payments": "payment_sequential = 1", "stg_reviews": "review_id not like 's%'"}
+for _name, _where in _LATER.items():
+    cte(f"{_name}_later", _name, f"select * from {_name} where {_where}")
+for _name, _from in (("payment_summary", "stg_payments"), ("review_summary", "stg_reviews")):
+    cte(f"{_name}_later", f"{_from}_later", CTES[_name][1].replace(_from, f"{_from}_later"))
+cte(
+    "fct_orders_later",
+    "delivery_timeline stg_customers item_summary payment_summary_later review_summary_later",
+    CTES["fct_orders"][1]
+    .replace("join payment_summary", "join payment_summary_later")
+    .replace("join review_summary", "join review_summary_later"),
+)
+cte(
+    "fct_orders_twice",
+    "fct_orders fct_orders_later",
+    f"""select f.* from fct_orders f, (select max(purchased_date) - 7 s from fct_orders
+    where purchased_date < date '{INCREMENTAL_FROM}') x where purchased_date < s
+  union all
+  select f.* from fct_orders_later f, (select max(purchased_date) - 7 s from fct_orders
+    where purchased_date < date '{INCREMENTAL_FROM}') x where purchased_date >= s""",
+)
+_MONEY["fct_orders_twice"] = _MONEY["fct_orders"]
+answer("incremental_equals_full", "fct_orders_twice", _shared_types("fct_orders_twice"))
+answer("incremental_late_lines", "fct_orders", _shared_types("fct_orders"))
 answer(
     "incremental_partitions",
     "stg_orders",
@@ -675,6 +753,13 @@ answer(
     f"""select {', '.join(get_table('order_payments').columns)} from src_order_payments
 where payment_type <> trim(payment_type) or payment_type <> lower(payment_type)""",
 )
+answer(
+    "stored_violations",
+    "src_order_payments",
+    """select payment_type, count(*) row_count, count(distinct order_id) orders
+from src_order_payments
+where payment_type <> trim(payment_type) or payment_type <> lower(payment_type) group by 1""",
+)
 answer(
     "orphan_lines",
     "stg_order_items stg_orders",
@@ -847,6 +932,36 @@ answer(
         for e in s.expectations
     ),
 )
+cte(
+    "suite_results",
+    "fct_order_items agg_daily_performance",
+    "\nunion all ".join(
+        _expectation_sql(s.name, s.table, e)
+        for s in build_suites(1, TIGHT_BOUNDS)
+        for e in s.expectations
+        if s.table != "fct_orders"
+    ),
+)
+answer(
+    "suite_outcomes",
+    "suite_results",
+    """select suite, count(*) evaluated, count(*) filter (success) passed,
+  count(*) filter (not success) failed, bool_and(success) success,
+  case suite when 'fct_order_items' then (select count(*) from fct_order_items)
+    else (select count(*) from agg_daily_performance) end rows_validated,
+  (select bool_and(success) from suite_results) all_suites_passed
+from suite_results group by suite""",
+)
+answer(
+    "quantiles_with_nan",
+    "",
+    """select p, case when isnan(v) then 'nan' when isinf(v) then 'inf'
+    else cast(round(v, 2) as string) end v from (
+  select unnest([0.0, 0.1, 0.5, 0.85, 0.93, 0.99, 1.0]::double[]) p,
+    unnest(quantile_disc(case l_orderkey % 20 when 3 then 'nan'::double when 4 then 'inf'::double
+      else l_extendedprice end, [0.0, 0.1, 0.5, 0.85, 0.93, 0.99, 1.0])) v
+  from lineitem) q""",
+)
 answer(
     "order_quantiles",
     "stg_orders item_summary stg_customers",
@@ -916,7 +1031,7 @@ answer(
       / nullif(count(avg_freight_ratio), 0) freight_ratio,
     rank() over (partition by customer_region order by sum(total_revenue) desc, category_name) r
   from agg_daily_performance where purchased_date >= date '{AS_OF}' - 365 group by 1, 2) t
-where r <= 3""",
+where r <= 10""",
 )
 for _grain in ("fact", "agg"):
     for _report, _sql in {
@@ -952,7 +1067,7 @@ answer(
     "run_durations",
     "src_runs",
     """select run_date, task_id, round(avg(duration_seconds), 6) avg_seconds from src_runs
-where run_date >= date '2024-01-16' group by 1, 2""",
+where run_date >= date '2024-01-11' group by 1, 2""",
 )
 _SECONDS = """round(coalesce(duration_seconds,
     cast(epoch_us(finished_at) - epoch_us(started_at) as double) / 1e6), 2)"""

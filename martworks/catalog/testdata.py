@@ -1,7 +1,8 @@
 """The nine source tables and the pipeline-run table, derived from the given Parquet
 tables. Key arithmetic only, so every engine derives the same rows.
 
-The SQL is portable: ``{ts}`` is the zone-less timestamp type of the engine."""
+The SQL is portable: ``{ts}`` is the zone-less timestamp type of the engine, ``{each}``
+its function that makes a row of each element, ``{list}`` the one that makes an array."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ _LOADED = "cast('2002-01-01' as date) as ingest_date, {ts} '2002-01-01 00:00:00'
 _OLDER = "cast('2001-12-31' as date) as ingest_date, {ts} '2001-12-31 00:00:00' as _ingested_at"
 
 SOURCES: dict[str, tuple[tuple[str, ...], str]] = {}
+SPARK_NAMES = {"ts": "timestamp_ntz", "each": "explode", "list": "array"}
 
 
 def _source(name: str, needs: str, sql: str) -> None:
@@ -50,6 +52,11 @@ select cast(o_orderkey as string), cast(o_orderkey as string), 'created',
   o_orderdate, null, null, null, o_orderdate + interval '14' day,
   cast(o_orderdate as date), {ts} '2001-12-31 00:00:00'
 from {orders} where o_orderkey % 11 = 0
+union all
+select cast(o_orderkey as string), cast(o_orderkey as string), 'created',
+  null, null, null, null, o_orderdate + interval '14' day,
+  cast('2002-01-01' as date), {ts} '2001-12-31 00:00:00'
+from {orders} where o_orderkey % 97 = 0
 """,
 )
 
@@ -78,31 +85,33 @@ select cast(l_orderkey as string) as order_id, cast(l_linenumber as bigint) as o
   cast(l_shipdate as date) as ingest_date,
   {ts} '2002-01-01 00:00:00' + l_partkey * interval '1' second as _ingested_at
 from {lineitem}
+union all
+select cast(l_orderkey as string), cast(l_linenumber as bigint), cast(l_partkey as string),
+  cast(l_suppkey as string), null, l_extendedprice, cast(0 as double),
+  cast('2001-12-31' as date), {ts} '2001-12-31 00:00:00'
+from {lineitem} where l_orderkey % 89 = 0
 """,
 )
 
 # Payments settle the order's deduplicated lines exactly; every twelfth order pays in
-# two parts and every 300th has no payment at all.
+# two parts and every 300th has no payment at all. Each order is summed once and then
+# taken apart into its payments.
 _source(
     "src_order_payments",
     "stg_order_items",
     f"""
 select cast(k as string) as order_id, cast(seq as bigint) as payment_sequential,
-  kind as payment_type, cast(parts as bigint) as payment_installments,
-  cast(amount as double) as payment_value, {_LOADED}
+  case when seq = 2 then 'voucher' else case k % 4 when 0 then 'credit_card' when 1 then 'boleto'
+      when 2 then 'Voucher ' else 'debit_card' end end as payment_type,
+  cast(case when seq = 2 then 0 else k % 4 end as bigint) as payment_installments,
+  cast(case when k % 12 <> 0 then t when seq = 1 then h else t - h end as double) as payment_value,
+  {_LOADED}
 from (
-  select k, 1 as seq, case k % 4 when 0 then 'credit_card' when 1 then 'boleto'
-      when 2 then 'Voucher ' else 'debit_card' end as kind,
-    k % 4 as parts, case when k % 12 = 0 then h else t end as amount
-  from (select k, t, cast(round(t * cast('0.4' as decimal(2,1)), 2) as decimal(18,2)) as h
-        from (select cast(order_id as bigint) as k, cast(sum(item_total) as decimal(18,2)) as t
-              from {{stg_order_items}} group by cast(order_id as bigint)) a) b
-  where k % 300 <> 0
-  union all
-  select k, 2, 'voucher', 0, t - cast(round(t * cast('0.4' as decimal(2,1)), 2) as decimal(18,2))
+  select k, t, cast(round(t * cast('0.4' as decimal(2,1)), 2) as decimal(18,2)) as h,
+    {{each}}(case when k % 12 = 0 then {{list}}(1, 2) else {{list}}(1) end) as seq
   from (select cast(order_id as bigint) as k, cast(sum(item_total) as decimal(18,2)) as t
         from {{stg_order_items}} group by cast(order_id as bigint)) a
-  where k % 12 = 0 and k % 300 <> 0) z
+  where k % 300 <> 0) z
 """,
 )
 

@@ -245,17 +245,29 @@ def dim_sellers(sellers: DataFrame, lines: DataFrame, geography: DataFrame) -> D
     """Sellers with sales and fulfilment. ``lines`` are order lines that have an
     order (the line fact under its source key names); sales and delivery measures
     come from one aggregate over them."""
-    order = F.col("order_id")
-    activity = lines.groupBy("seller_id").agg(
-        F.count_distinct(order).alias("order_count"),
-        F.count(F.lit(1)).alias("items_sold"),
-        F.sum("item_price").alias("gross_revenue"),
-        F.sum("freight_value").alias("freight_charged"),
-        F.min("purchased_date").alias("first_sale_date"),
-        F.max("purchased_date").alias("most_recent_sale_date"),
-        F.count_distinct(F.when(F.col("is_delivered"), order)).alias("delivered"),
-        F.count_distinct(F.when(F.col("is_late"), order)).alias("late"),
-        F.avg(F.col("days_to_delivery").cast("double")).alias("avg_days"),
+    # One row per seller and order first: distinct orders are then plain counts, and a
+    # seller with very many lines is spread over its orders.
+    by_order = lines.groupBy("seller_id", "order_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("item_price").alias("price"),
+        F.sum("freight_value").alias("freight"),
+        F.min("purchased_date").alias("first"),
+        F.max("purchased_date").alias("last"),
+        F.bool_or("is_delivered").alias("was_delivered"),
+        F.bool_or("is_late").alias("was_late"),
+        F.sum("days_to_delivery").alias("days"),
+        F.count("days_to_delivery").alias("days_known"),
+    )
+    activity = by_order.groupBy("seller_id").agg(
+        F.count("order_id").alias("order_count"),
+        F.sum("items").alias("items_sold"),
+        F.sum("price").alias("gross_revenue"),
+        F.sum("freight").alias("freight_charged"),
+        F.min("first").alias("first_sale_date"),
+        F.max("last").alias("most_recent_sale_date"),
+        F.count_if("was_delivered").alias("delivered"),
+        F.count_if("was_late").alias("late"),
+        F.try_divide(F.sum("days").cast("double"), F.sum("days_known")).alias("avg_days"),
     )
     return (
         _located(sellers, geography, "seller_city")

@@ -19,7 +19,7 @@ from martworks.plans import marts, rollups, staging
 from martworks.plans.reports import RUN_METRICS_SCHEMA
 from martworks.plans.warehouse import CLUSTER_COLUMNS, Warehouse, by_month
 from martworks.quality import checks, declared, invariants
-from martworks.session import cut_lineage
+from martworks.session import cut_lineage, staged
 from martworks.sources import files
 
 SELLER_CHECK_COLUMNS = ("seller_city", "seller_state", "zip_code_prefix")
@@ -39,12 +39,17 @@ FACT_KEYS = {"fct_orders": ["order_key"], "fct_order_items": ["order_item_key"]}
 
 @dataclass
 class Build:
-    """One run. ``raw`` gives the raw table of a name; ``as_of`` is the run's time."""
+    """One run. ``raw`` gives the raw table of a name; ``as_of`` is the run's time.
+
+    An incremental run recomputes the orders of the lookback window. With
+    ``landed_since`` it also recomputes every older order for which an order or line
+    was landed on that day or later, so that rows later than the lookback arrive."""
 
     warehouse: Warehouse
     raw: Callable[[str], DataFrame]
     as_of: datetime
     full_refresh: bool = False
+    landed_since: date | None = None
     earliest: str = staging.EARLIEST_ORDER_DATE
     lookback_days: int = upsert.LOOKBACK_DAYS
     grace_days: int = rollups.DELIVERY_GRACE_DAYS
@@ -53,6 +58,7 @@ class Build:
     calendar: tuple[str, str] = (marts.CALENDAR_START, marts.CALENDAR_END)
     timings: list[tuple[str, float, datetime]] = field(default_factory=list)
     _all_items: DataFrame | None = None
+    _touched: set[date] | None = None
 
     @property
     def spark(self):
@@ -89,16 +95,36 @@ class Build:
         rows = self.raw(table)
         return rows if keys is None else rows.join(keys.select(key), key, "left_semi")
 
+    def _late(self) -> DataFrame | None:
+        """Keys of the orders that newly landed partitions touch. Only tables landed by
+        slices count: a snapshot lands whole each time. The filter prunes partitions."""
+        if self.landed_since is None:
+            return None
+        return reduce(
+            DataFrame.union,
+            [
+                self.raw(t).where(F.col("ingest_date") >= F.lit(self.landed_since)).select("order_id")
+                for t in ("orders", "order_items")
+            ],
+        ).distinct()
+
     def _orders(self, start: date | None) -> DataFrame:
-        """Staged orders of the window. Every order in it has some raw copy in it, so
-        only copies of such candidates are deduplicated; the filter on the raw
-        timestamp reaches the Parquet scan."""
+        """Staged orders to recompute. Every order of the window has some raw copy in it,
+        so only copies of such candidates, and of late orders, are deduplicated; the
+        filter on the raw timestamp reaches the Parquet scan."""
         if start is None:
             return staging.orders(self.raw("orders"), self.earliest)
         since = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
+        late = self._late()
         candidates = self.raw("orders").where(F.col("order_purchase_timestamp") >= since)
-        copies = self._matching("orders", candidates, "order_id")
-        return upsert.since(staging.orders(copies, self.earliest), "purchased_date", start)
+        if late is not None:
+            candidates = candidates.select("order_id").union(late)
+        staged = staging.orders(self._matching("orders", candidates, "order_id"), self.earliest)
+        recent = upsert.since(staged, "purchased_date", start)
+        if late is None:
+            return recent
+        older = staged.where(F.col("purchased_date") < F.lit(start))
+        return recent.union(older.join(late, "order_id", "left_semi").select(*recent.columns))
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         """Store a model that several later steps of this run read."""
@@ -109,7 +135,12 @@ class Build:
     def facts(self) -> dict[str, upsert.UpsertResult]:
         start = self._start()
         orders = self._orders(start)
-        window = None if start is None else orders
+        window = None
+        if start is not None:
+            # Stored once: its known size lets Spark decide on broadcasting the keys, and
+            # none of the five tables below computes the window again.
+            orders = self._keep("window_orders", orders)
+            window = orders.select("order_id", "customer_id")
         timeline = rollups.delivery_timeline(orders, self.grace_days)
         customers = staging.customers(self._matching("customers", window, "customer_id"))
         # Both facts read these two; storing them saves shuffling all lines and all
@@ -140,10 +171,14 @@ class Build:
                 rollups.line_context(items, context, products, sellers)
             ),
         }
-        return {
+        results = {
             name: self._timed(name, lambda n=name, b=batch: self._store_fact(n, b, start))
             for name, batch in batches.items()
         }
+        self._touched = None
+        if all(r.mode == "incremental" for r in results.values()):
+            self._touched = {d.replace(day=1) for r in results.values() for d in r.touched}
+        return results
 
     def _store_fact(self, name: str, batch: DataFrame, start: date | None):
         path, cluster = self.warehouse.path(name), CLUSTER_COLUMNS[name]
@@ -155,11 +190,19 @@ class Build:
             self.spark, rows, path, FACT_KEYS[name], column, cluster
         )
 
-    # dimensions and aggregate, from the stored facts
+    # dimensions from staging, the aggregate from the stored facts
 
     def dimensions(self) -> None:
+        """From staging, not from the stored facts: what lands later than the lookback
+        is in the dimensions at once."""
         wh = self.warehouse
-        orders, lines = wh.read("fct_orders"), wh.read("fct_order_items")
+        timeline = rollups.delivery_timeline(
+            staging.orders(self.raw("orders"), self.earliest), self.grace_days
+        )
+        customers = staging.customers(self.raw("customers"))
+        items = self._all_items
+        if items is None:
+            items = self._keep("all_items", staging.order_items(self.raw("order_items")))
         geography = self._timed(
             "dim_geography",
             lambda: wh.write(
@@ -167,27 +210,25 @@ class Build:
                 "dim_geography",
             ),
         )
-        sold = lines.select(
-            F.col("seller_key").alias("seller_id"),
-            F.col("order_key").alias("order_id"),
-            "item_price",
-            "freight_value",
-            "purchased_date",
-            "is_delivered",
-            "is_late",
-            "days_to_delivery",
+        timeline = self._keep(
+            "all_orders",
+            timeline.select(
+                "order_id", "customer_id", "purchased_date", "is_delivered", "is_late", "days_to_delivery"
+            ),
+        )
+        sold = items.select("order_id", "seller_id", "item_price", "freight_value").join(
+            timeline.drop("customer_id"), "order_id", "inner"
         )
+        values = rollups.order_values(timeline, items, customers)
         products = staging.products(
             self.raw("products"),
             staging.category_translation(self.raw("product_category_translation")),
         )
         tables = {
             "dim_customers": marts.dim_customers(
-                staging.customers(self.raw("customers")), orders, geography
-            ),
-            "dim_products": marts.dim_products(
-                products, self._all_items or staging.order_items(self.raw("order_items"))
+                customers, values, geography
             ),
+            "dim_products": marts.dim_products(products, items),
             "dim_sellers": marts.dim_sellers(
                 staging.sellers(self.raw("sellers")), sold, geography
             ),
@@ -197,12 +238,28 @@ class Build:
             self._timed(name, lambda n=name, d=df: wh.write(d, n))
 
     def aggregate(self) -> None:
-        wh = self.warehouse
-        daily = marts.agg_daily_performance(wh.read("fct_order_items"), wh.read("fct_orders"))
-        self._timed(
-            "agg_daily_performance",
-            lambda: wh.write_by(by_month(daily), "agg_daily_performance", "purchased_month"),
+        """In full, or only the months that this run's upserts have touched."""
+        wh, name = self.warehouse, "agg_daily_performance"
+        if self._touched is None or not wh.exists(name):
+            daily = marts.agg_daily_performance(wh.read("fct_order_items"), wh.read("fct_orders"))
+            self._timed(name, lambda: wh.write_by(by_month(daily), name, "purchased_month"))
+            return
+        months = sorted(self._touched)
+        daily = marts.agg_daily_performance(
+            wh.months("fct_order_items", months), wh.months("fct_orders", months)
         )
+        self._timed(name, lambda: self._replace_months(by_month(daily), name, months))
+
+    def _replace_months(self, daily: DataFrame, name: str, months: list[date]) -> None:
+        if not months:
+            return
+        path = self.warehouse.path(name)
+        with staged(daily) as rows:
+            upsert.write_partitioned(rows, path, "purchased_month", CLUSTER_COLUMNS[name])
+            left = {r[0] for r in rows.select("purchased_month").distinct().collect()}
+        for month in set(months) - left:
+            files.delete(self.spark, f"{path}/purchased_month={month.isoformat()}")
+        self.spark.catalog.refreshByPath(path)
 
     # history
 

@@ -17,23 +17,28 @@ def _any(condition: Column) -> Column:
 
 
 def payment_summary(payments: DataFrame) -> DataFrame:
-    """The primary payment is the largest one, the earliest of equals."""
-    primary = first_value_by(
-        F.struct("payment_type", "payment_installments"),
-        -F.col("payment_value"),
-        F.col("payment_sequential"),
-    )
+    """The primary payment is the largest one, the earliest of equals. Payments are
+    first summed by order and type, which makes the number of types a plain count."""
     kind = F.col("payment_type")
+    rank = F.struct((-F.col("payment_value")).alias("less"), F.col("payment_sequential").alias("n"))
+    first = F.min_by(F.struct("payment_type", "payment_installments"), rank)
+    by_type = payments.groupBy("order_id", "payment_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("payment_value").alias("total"),
+        F.max("payment_installments").alias("installments"),
+        F.min(rank).alias("rank"),
+        first.alias("first"),
+    )
     return (
-        payments.groupBy("order_id")
+        by_type.groupBy("order_id")
         .agg(
-            F.count(F.lit(1)).alias("payment_count"),
-            F.count_distinct(kind).alias("payment_type_count"),
-            F.sum("payment_value").alias("payment_total"),
-            F.max("payment_installments").alias("max_installments"),
+            F.sum("n").alias("payment_count"),
+            F.count(kind).alias("payment_type_count"),
+            F.sum("total").cast("decimal(28,2)").alias("payment_total"),
+            F.max("installments").alias("max_installments"),
             _any(kind == "credit_card").alias("used_credit_card"),
             _any(kind == "voucher").alias("used_voucher"),
-            primary.alias("_primary"),
+            F.min_by("first", "rank").alias("_primary"),
         )
         .withColumn("primary_payment_type", F.col("_primary.payment_type"))
         .withColumn(
@@ -178,6 +183,19 @@ def order_context(timeline: DataFrame, customers: DataFrame) -> DataFrame:
     return timeline.join(buyer, "customer_id", "left")
 
 
+def order_values(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders with person and item total: what a person's lifetime measures need, for far
+    less work than the order fact."""
+    totals = items.groupBy("order_id").agg(F.sum("item_total").alias("order_total"))
+    person = customers.select("customer_id", "customer_unique_id")
+    return (
+        orders.select("order_id", "customer_id", "purchased_date")
+        .join(totals, "order_id", "left")
+        .join(person, "customer_id", "inner")
+        .withColumn("order_total", F.coalesce("order_total", F.lit(0)))
+    )
+
+
 def line_context(
     items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame
 ) -> DataFrame:

@@ -204,6 +204,43 @@ def run_suites(
     return reduce(DataFrame.unionByName, parts)
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """A run of suites as a whole."""
+
+    evaluated: int
+    failed: tuple[str, ...]  # suite: expectation(column)
+
+    @property
+    def passed(self) -> bool:
+        return not self.failed
+
+
+class SuiteFailure(Exception):
+    """Some expectation of a suite does not hold."""
+
+
+def outcome(results: DataFrame, raise_on_failure: bool = False) -> Outcome:
+    """Judge the results of suites; there is one row per expectation to read."""
+    rows = results.select("suite", "expectation", "column", "success").collect()
+    failed = sorted(
+        f"{r['suite']}: {r['expectation']}({r['column'] or ''})" for r in rows if not r["success"]
+    )
+    found = Outcome(len(rows), tuple(failed))
+    if raise_on_failure and failed:
+        raise SuiteFailure("; ".join(failed))
+    return found
+
+
+def rows_validated(tables: dict[str, DataFrame], suites: Iterable[Suite]) -> DataFrame:
+    """Rows that each suite looks at: (suite, rows_validated)."""
+    parts = []
+    for s in suites:
+        rows = tables[s.table] if s.where is None else tables[s.table].where(s.where)
+        parts.append(rows.agg(F.lit(s.name).alias("suite"), F.count(F.lit(1)).alias("rows_validated")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """Per suite: evaluated, passed, failed, overall success."""
     return results.groupBy("suite").agg(

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +62,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(directory)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder and read back as Parquet, which keeps
+    statistics and column pruning for everything that reads it; removed on leaving."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -12,11 +12,15 @@ def read_source(
     spark: SparkSession, table: SourceTable, source_dir: str, filename: str | None = None
 ) -> DataFrame:
     """All declared columns in declared order. The header must name them, an empty
-    field is NULL, and a value that does not parse fails the job."""
+    field is NULL, and a value that does not parse fails the job.
+
+    The path may be a folder or glob of parts. A free-text table can hold line breaks in
+    a field, so each of its files is read by one task: export it as many files. Its rows
+    are spread over tasks again right after the scan."""
     path = f"{source_dir.rstrip('/')}/{filename or table.filename}"
-    if not files.exists(spark, path):
+    if not files.any_exists(spark, path):
         raise FileNotFoundError(f"no source file for table {table.name!r} at {path}")
-    return (
+    rows = (
         spark.read.schema(table.schema)
         .option("header", True)
         .option("enforceSchema", False)
@@ -29,3 +33,4 @@ def read_source(
         .csv(path)
         .select(*table.columns)
     )
+    return rows.hint("rebalance") if table.free_text else rows

@@ -17,6 +17,12 @@ def exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def any_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or anything that a glob names, is there."""
+    fs, path = _path(spark, pattern)
+    return bool(fs.globStatus(path))
+
+
 def delete(spark: SparkSession, uri: str) -> bool:
     """Remove a directory tree that this package wrote."""
     fs, path = _path(spark, uri)

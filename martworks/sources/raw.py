@@ -15,12 +15,17 @@ from martworks.sources.registry import SourceTable, select_tables
 
 
 @dataclass(frozen=True)
-class LoadResult:
+class Loaded:
+    """A finished load: the rows it brought, and the day it replaced, None for all days."""
+
     table: str
-    rows_loaded: int
-    rows_total: int
-    mode: str
-    destination: str
+    path: str
+    rows: int
+    day: str | None
+
+    @property
+    def replaced_all(self) -> bool:
+        return self.day is None
 
 
 def read_raw(spark: SparkSession, raw_root: str, table: str) -> DataFrame:
@@ -34,7 +39,7 @@ def load_raw(
     raw_root: str,
     ingest_date: str | date | None = None,
     full: bool = False,
-) -> LoadResult:
+) -> Loaded:
     """Load one landed day, or everything landed when ``ingest_date`` is None.
 
     A snapshot table, a full load and a missing target are replaced. Otherwise only
@@ -45,20 +50,15 @@ def load_raw(
     replace = full or ingest_date is None or table.strategy == "full"
     if replace or not files.exists(spark, dest):
         _write(landed, dest, "static")
-        total = read_raw(spark, raw_root, table.name).count()
-        return LoadResult(table.name, total, total, "replace", dest)
+        return Loaded(table.name, dest, spark.read.parquet(dest).count(), None)
     day_dir = f"{dest}/{PARTITION}={as_date(ingest_date)}"
     landed.drop(PARTITION).write.mode("overwrite").option("compression", "zstd").parquet(
         day_dir
     )
     spark.catalog.refreshByPath(dest)
-    return LoadResult(
-        table.name,
-        spark.read.parquet(day_dir).count(),
-        read_raw(spark, raw_root, table.name).count(),
-        "delete+insert",
-        dest,
-    )
+    # Only the day's own files are counted, so a daily load does not touch history.
+    rows = spark.read.parquet(day_dir).count()
+    return Loaded(table.name, dest, rows, str(as_date(ingest_date)))
 
 
 def _write(landed: DataFrame, dest: str, mode: str) -> None:
@@ -78,7 +78,7 @@ def load_all(
     ingest_date: str | date | None = None,
     tables: Iterable[str] | None = None,
     full: bool = False,
-) -> list[LoadResult]:
+) -> list[Loaded]:
     return [
         load_raw(spark, t, root, raw_root, ingest_date, full) for t in select_tables(tables)
     ]

@@ -29,6 +29,8 @@ class SourceTable:
     # Free text may hold line breaks; such a file cannot be split by lines.
     free_text: bool = False
     tags: tuple[str, ...] = ()
+    # Name of the published file, where it is not the table's own.
+    file: str | None = None
 
     @property
     def strategy(self) -> str:
@@ -45,37 +47,44 @@ class SourceTable:
 
     @property
     def filename(self) -> str:
-        return f"{self.name}.csv"
-
-
-def _fields(spec: str) -> tuple[tuple[str, str], ...]:
-    return tuple(tuple(part.split(":")) for part in spec.split())  # type: ignore[misc]
+        return self.file or f"{self.name}.csv"
 
 
 # The source schemas (the two "lenght" spellings are the source's own).
 SOURCE_TABLES: tuple[SourceTable, ...] = (
     SourceTable(
         "customers",
-        _fields(
-            "customer_id:string customer_unique_id:string "
-            "customer_zip_code_prefix:string customer_city:string customer_state:string"
+        (
+            ("customer_id", "string"),
+            ("customer_unique_id", "string"),
+            ("customer_zip_code_prefix", "string"),
+            ("customer_city", "string"),
+            ("customer_state", "string"),
         ),
         primary_key=("customer_id",),
         tags=("dimension",),
     ),
     SourceTable(
         "geolocation",
-        _fields(
-            "geolocation_zip_code_prefix:string geolocation_lat:float "
-            "geolocation_lng:float geolocation_city:string geolocation_state:string"
+        (
+            ("geolocation_zip_code_prefix", "string"),
+            ("geolocation_lat", "float"),
+            ("geolocation_lng", "float"),
+            ("geolocation_city", "string"),
+            ("geolocation_state", "string"),
         ),
         tags=("dimension",),
     ),
     SourceTable(
         "order_items",
-        _fields(
-            "order_id:string order_item_id:integer product_id:string seller_id:string "
-            "shipping_limit_date:timestamp price:float freight_value:float"
+        (
+            ("order_id", "string"),
+            ("order_item_id", "integer"),
+            ("product_id", "string"),
+            ("seller_id", "string"),
+            ("shipping_limit_date", "timestamp"),
+            ("price", "float"),
+            ("freight_value", "float"),
         ),
         primary_key=("order_id", "order_item_id"),
         watermark="shipping_limit_date",
@@ -83,19 +92,26 @@ SOURCE_TABLES: tuple[SourceTable, ...] = (
     ),
     SourceTable(
         "order_payments",
-        _fields(
-            "order_id:string payment_sequential:integer payment_type:string "
-            "payment_installments:integer payment_value:float"
+        (
+            ("order_id", "string"),
+            ("payment_sequential", "integer"),
+            ("payment_type", "string"),
+            ("payment_installments", "integer"),
+            ("payment_value", "float"),
         ),
         primary_key=("order_id", "payment_sequential"),
         tags=("fact",),
     ),
     SourceTable(
         "order_reviews",
-        _fields(
-            "review_id:string order_id:string review_score:integer "
-            "review_comment_title:string review_comment_message:string "
-            "review_creation_date:timestamp review_answer_timestamp:timestamp"
+        (
+            ("review_id", "string"),
+            ("order_id", "string"),
+            ("review_score", "integer"),
+            ("review_comment_title", "string"),
+            ("review_comment_message", "string"),
+            ("review_creation_date", "timestamp"),
+            ("review_answer_timestamp", "timestamp"),
         ),
         primary_key=("review_id", "order_id"),
         free_text=True,
@@ -103,12 +119,15 @@ SOURCE_TABLES: tuple[SourceTable, ...] = (
     ),
     SourceTable(
         "orders",
-        _fields(
-            "order_id:string customer_id:string order_status:string "
-            "order_purchase_timestamp:timestamp order_approved_at:timestamp "
-            "order_delivered_carrier_date:timestamp "
-            "order_delivered_customer_date:timestamp "
-            "order_estimated_delivery_date:timestamp"
+        (
+            ("order_id", "string"),
+            ("customer_id", "string"),
+            ("order_status", "string"),
+            ("order_purchase_timestamp", "timestamp"),
+            ("order_approved_at", "timestamp"),
+            ("order_delivered_carrier_date", "timestamp"),
+            ("order_delivered_customer_date", "timestamp"),
+            ("order_estimated_delivery_date", "timestamp"),
         ),
         primary_key=("order_id",),
         watermark="order_purchase_timestamp",
@@ -116,27 +135,37 @@ SOURCE_TABLES: tuple[SourceTable, ...] = (
     ),
     SourceTable(
         "products",
-        _fields(
-            "product_id:string product_category_name:string product_name_lenght:integer "
-            "product_description_lenght:integer product_photos_qty:integer "
-            "product_weight_g:float product_length_cm:float product_height_cm:float "
-            "product_width_cm:float"
+        (
+            ("product_id", "string"),
+            ("product_category_name", "string"),
+            ("product_name_lenght", "integer"),
+            ("product_description_lenght", "integer"),
+            ("product_photos_qty", "integer"),
+            ("product_weight_g", "float"),
+            ("product_length_cm", "float"),
+            ("product_height_cm", "float"),
+            ("product_width_cm", "float"),
         ),
         primary_key=("product_id",),
         tags=("dimension",),
     ),
     SourceTable(
         "sellers",
-        _fields(
-            "seller_id:string seller_zip_code_prefix:string seller_city:string "
-            "seller_state:string"
+        (
+            ("seller_id", "string"),
+            ("seller_zip_code_prefix", "string"),
+            ("seller_city", "string"),
+            ("seller_state", "string"),
         ),
         primary_key=("seller_id",),
         tags=("dimension",),
     ),
     SourceTable(
         "product_category_translation",
-        _fields("product_category_name:string product_category_name_english:string"),
+        (
+            ("product_category_name", "string"),
+            ("product_category_name_english", "string"),
+        ),
         primary_key=("product_category_name",),
         tags=("dimension",),
     ),

@@ -83,11 +83,11 @@ def test_landing_a_day_is_idempotent(spark, folder):
     df = orders(spark, *STAMPS)
     results = [landing.land_day(df, ORDERS, folder, "2024-03-15") for _ in range(3)]
     assert [r.rows for r in results] == [3, 3, 3]
-    assert [r.replaced_objects for r in results] == [0] + [results[0].replaced_objects or r.replaced_objects for r in results[1:]]
+    assert [r.replaced for r in results] == [False, True, True]
     landed = landing.read_landed(spark, folder, "orders", "2024-03-15")
     assert landed.count() == 3 and set(LINEAGE_COLUMNS) <= set(landed.columns)
     assert rows(landed.select("ingest_date").distinct()) == [(date(2024, 3, 15),)]
-    assert results[0].uri.endswith("raw/orders/ingest_date=2024-03-15")
+    assert results[0].path.endswith("raw/orders/ingest_date=2024-03-15")
 
 
 def test_landing_an_empty_day_clears_it(spark, folder):
@@ -98,14 +98,14 @@ def test_landing_an_empty_day_clears_it(spark, folder):
 
 def test_history_fans_out_by_event_date(spark, folder):
     result = landing.land_history(orders(spark, *STAMPS), ORDERS, folder, "2025-01-01")
-    assert (result.rows, result.partitions) == (4, 3)
+    assert (result.rows, len(result.days)) == (4, 3)
     landed = landing.read_landed(spark, folder, "orders")
     own = F.coalesce(F.to_date("order_purchase_timestamp"), F.lit("2025-01-01").cast("date"))
     assert landed.where(F.col("ingest_date") != own).isEmpty()
     again = landing.land_history(orders(spark, *STAMPS[:2]), ORDERS, folder, "2025-01-01")
-    assert again.partitions == 1 and again.replaced_objects >= 3
+    assert again.days == ("2024-03-15",) and again.replaced
     full = landing.land_history(sellers(spark, "a", "b"), SELLERS, folder, "2025-01-01")
-    assert (full.rows, full.partitions) == (2, 1)
+    assert (full.rows, full.days) == (2, ("2025-01-01",))
     landing.land_history(sellers(spark, "a"), SELLERS, folder, "2025-01-02")
     assert files.partition_values(spark, landing.table_path(folder, "sellers"), "ingest_date") == ["2025-01-02"]
 
@@ -154,11 +154,12 @@ def test_daily_load_is_idempotent(spark, folder):
     df = orders(spark, *STAMPS[:3])
     landing.land_history(df, ORDERS, land, "2025-01-01")
     first = raw.load_raw(spark, ORDERS, land, store, full=True)
-    assert (first.mode, first.rows_total) == ("replace", 3)
+    assert (first.replaced_all, first.rows) == (True, 3)
     for _ in range(3):
         landing.land_day(df, ORDERS, land, "2024-03-15")
         again = raw.load_raw(spark, ORDERS, land, store, "2024-03-15")
-        assert (again.mode, again.rows_loaded, again.rows_total) == ("delete+insert", 2, 3)
+        assert (again.day, again.rows) == ("2024-03-15", 2)
+        assert raw.read_raw(spark, store, "orders").count() == 3
     assert raw.read_raw(spark, store, "orders").groupBy("order_id").count().where("count > 1").isEmpty()
 
 
@@ -166,7 +167,7 @@ def test_full_tables_replace_and_new_columns_are_tolerated(spark, folder):
     land, store = f"{folder}/land", f"{folder}/raw"
     for day in ("2025-01-01", "2025-01-02"):
         landing.land_day(sellers(spark, "a", "b"), SELLERS, land, day)
-        assert raw.load_raw(spark, SELLERS, land, store, day).rows_total == 2
+        assert raw.load_raw(spark, SELLERS, land, store, day).rows == 2
     landing.land_history(orders(spark, *STAMPS), ORDERS, land, "2025-01-01")
     raw.load_raw(spark, ORDERS, land, store, full=True)
     wider = landing.with_lineage(orders(spark, datetime(2024, 3, 15)), ORDERS, "r", F.lit(date(2024, 3, 15)))
@@ -184,7 +185,7 @@ def test_run_id_is_shared_and_tables_can_be_selected(spark, folder):
     ids = {landing.read_landed(spark, folder, n).select("_run_id").first()[0] for n in sources}
     assert len(ids) == 1
     loaded = raw.load_all(spark, folder, f"{folder}/raw_tables", "2024-03-15", ["orders", "sellers"])
-    assert [r.mode for r in loaded] == ["replace", "replace"]
+    assert all(r.replaced_all for r in loaded)
 
 
 def test_key_drift(spark):

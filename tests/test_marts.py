@@ -10,6 +10,7 @@ from martworks.catalog.lake import Lake
 from martworks.plans import marts, pipeline, reports
 from martworks.plans.warehouse import Warehouse, namespace, with_comments
 from martworks.quality import invariants
+from martworks.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -144,7 +145,40 @@ def test_incremental_build_equals_full_refresh(spark, raw, lake, folder):
     assert status["orders_are_complete", "invariant", ""] == "warn"
     assert other.read("orders_are_complete", "test_failures").count() > 0
     metrics = full.run_metrics("daily", "r1")
-    assert metrics.where("duration_seconds > 0").count() == 12
+    assert metrics.where("duration_seconds > 0").count() == 13
+
+
+def test_late_lines_reach_dimensions_at_once_and_facts_on_request(spark, raw, folder):
+    """Lines of old orders land long after the lookback: the dimensions count them in the
+    next run, the facts in a run that takes up newly landed partitions."""
+    late = F.col("order_id").cast("bigint") % 50 == 0
+    landed = F.when(late, F.lit("2002-02-01").cast("date")).otherwise(F.col("ingest_date"))
+    complete = {**raw, "order_items": raw["order_items"].withColumn("ingest_date", landed)}
+    build(spark, folder, {**raw, "order_items": raw["order_items"].where(~late)}, datetime(2001, 9, 1)).run()
+    build(spark, folder, complete, datetime(2001, 9, 2)).run()
+    once = f"{folder}/once"
+    build(spark, once, complete, datetime(2001, 9, 2), full_refresh=True).run()
+    wh, other = Warehouse(spark, folder), Warehouse(spark, once)
+    dimensions = ("dim_customers", "dim_sellers", "dim_products")
+    for name in dimensions:
+        assert same(wh.read(name), other.read(name)), name
+    assert not same(wh.read("fct_order_items"), other.read("fct_order_items"))
+    build(spark, folder, complete, datetime(2001, 9, 3), landed_since=date(2002, 1, 15)).run()
+    for name in ("fct_orders", "fct_order_items", "agg_daily_performance", *dimensions):
+        assert same(wh.read(name), other.read(name)), name
+
+
+def test_stored_marts_carry_their_descriptions(spark, lake, folder):
+    wh = Warehouse(spark, folder)
+    stored = wh.write(lake.dim_geography, "dim_geography")
+    assert stored.schema["latitude"].metadata["comment"] == "Mean of the samples"
+
+
+def test_a_lake_removes_what_it_stored(spark, sf_dir, folder):
+    with Lake(spark, sf_dir, folder) as own:
+        path = own.work()
+        assert own.stored("stg_sellers").count() > 0 and files.exists(spark, path)
+    assert not files.exists(spark, path)
 
 
 def test_stored_snapshot_follows_changes(spark, raw, folder):

@@ -166,3 +166,35 @@ def test_totals_are_compared_with_tolerance(spark):
                                     "d date, item_count long, gross_item_revenue double, total_revenue double")
         agg = agg.select("item_count", *[F.col(c).cast("decimal(18,2)") for c in agg.columns[2:]])
         assert invariants.agg_reconciles_to_fact(fact, agg).count() == broken
+
+
+def test_quantiles_with_nan_and_infinities(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [*map(float, range(100)), nan]
+    one = lambda vs, *ps: exact_quantiles(spark.createDataFrame([(v,) for v in vs], "v double"), "v", ps)
+    assert one(values, 0.5, 0.0, 0.99) == {0.5: 50.0, 0.0: 0.0, 0.99: 99.0}
+    assert str(one(values, 1.0)[1.0]) == "nan"
+    assert one([-inf, 1.0, 2.0, inf], 0.25, 0.5, 0.75, 1.0) == {0.25: -inf, 0.5: 1.0, 0.75: 2.0, 1.0: inf}
+    assert one([-1.7e308, 0.0, 1.7e308], 0.3, 0.5, 1.0) == {0.3: -1.7e308, 0.5: 0.0, 1.0: 1.7e308}
+    assert str(one([nan, None], 0.5)[0.5]) == "nan"
+
+
+def test_quantiles_keep_every_digit(spark):
+    big = 2**53
+    whole = spark.range(5).select((F.col("id") + big).alias("v"))
+    assert exact_quantiles(whole, "v", (0.2, 0.4, 0.6)) == {0.2: big, 0.4: big + 1, 0.6: big + 2}
+    wide = spark.createDataFrame([(-(2**63),), (0,), (2**63 - 1,)], "v long")
+    assert exact_quantiles(wide, "v", (0.3, 0.6, 1.0)) == {0.3: -(2**63), 0.6: 0, 1.0: 2**63 - 1}
+    cents = whole.select((F.col("v").cast("decimal(20,0)") + F.col("v") % 100 / 100).cast("decimal(28,2)").alias("v"))
+    assert exact_quantiles(cents, "v", (1.0,))[1.0] == cents.agg(F.max("v")).first()[0]
+
+
+def test_outcome_of_suites(spark):
+    results = spark.createDataFrame(
+        [("a", "mean", "x", True), ("b", "range", None, False)], "suite string, expectation string, column string, success boolean"
+    )
+    found = expectations.outcome(results)
+    assert (found.evaluated, found.failed, found.passed) == (2, ("b: range()",), False)
+    with pytest.raises(expectations.SuiteFailure, match="b: range"):
+        expectations.outcome(results, raise_on_failure=True)
+    assert expectations.outcome(results.where("success"), raise_on_failure=True).passed
