@@ -7,6 +7,7 @@ of documents.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,10 +47,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens. Each file of the mixture is a segment of its own, so sequence
-    ids follow the mixture from file to file."""
-    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
-    segment = F.when(part == "", F.lit(0)).otherwise(part.cast("long"))
-    return packing.packed(docs, segment=segment)
+    ids follow the mixture from file to file; rows that come from no file are one segment."""
+    name = F.col("_metadata.file_name")
+    try:
+        docs.select(name)
+    except AnalysisException:
+        return packing.packed(docs)
+    part = F.regexp_extract(name, r"part-(\d+)", 1)
+    return packing.packed(docs, segment=F.when(part != "", part.cast("long")))
 
 
 STAGES = [
