@@ -84,15 +84,13 @@ def _clusters(x: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in common.chunks(batches, "text"):
-        rows, cols = np.nonzero(counts := trigram_counts(chunk.column("text")))
-        offsets = pa.array(np.searchsorted(rows, np.arange(chunk.num_rows + 1)).astype(np.int32))
+        at, n = [], []
+        for counts in trigram_counts(chunk.column("text")):
+            places = np.flatnonzero(counts)
+            at.append(places.astype(np.uint16).tobytes())
+            n.append(counts[places].astype(np.int32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [
-                chunk.column("lang"),
-                chunk.column("h"),
-                pa.ListArray.from_arrays(offsets, pa.array(cols.astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(counts[rows, cols].astype(np.int32))),
-            ],
+            [chunk.column("lang"), chunk.column("h"), pa.array(at, pa.binary()), pa.array(n, pa.binary())],
             names=["lang", "h", "at", "n"],
         )
 
@@ -120,14 +118,14 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = SAMPLE) -> M
     rate = F.create_map(*(F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1.0, share / n))))
     picked = rows.where(F.pmod(hashed, F.lit(1 << 20)) < rate[F.col("lang")] * (1 << 20))
     counted = picked.select("lang", hashed.alias("h"), "text").mapInArrow(
-        _sparse, "lang string, h long, at array<int>, n array<int>"
+        _sparse, "lang string, h long, at binary, n binary"
     )
-    got = counted.where(F.size("at") > 0).orderBy("h", "lang", "at", "n").limit(2 * sample).collect()
+    got = counted.where(F.length("at") > 0).orderBy("h", "lang", "at", "n").limit(2 * sample).collect()
     if not got:
         return None
     counts = np.zeros((len(got), DIMENSIONS), dtype=np.int32)
     for i, r in enumerate(got):
-        counts[i, r["at"]] = r["n"]
+        counts[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], np.int32)
     idf = np.log(1 + len(got) / (1 + (counts > 0).sum(axis=0))).astype(np.float32)
     model = Model([], np.zeros((0, DIMENSIONS), np.float32), idf, np.zeros(0))
     x = model.vectors(counts)
