@@ -53,24 +53,35 @@ class CoverTree:
 
     def _add(self, members: np.ndarray, centre: int, radius: float) -> int:
         node = len(self.centre)
-        away = np.linalg.norm(self.x[members] - self.x[centre], axis=1)
-        actual = float(away.max())
+        own = self.x[members]
+        actual = 0.0
+        if len(members) > 1:
+            actual = _distance(float((own @ self.x[centre]).min())) + SLACK / 10
         self.centre.append(centre)
         self.radius.append(actual)
         self.members.append(members)
         self.children.append([])
-        if len(members) <= LEAF or actual == 0:
+        if len(members) <= LEAF or actual < SLACK:
             return node
         while radius / 2 >= actual:  # levels at which the node is its own only child
             radius /= 2
         # Separate centres at half the radius, each point with the first that covers it.
-        left, first = members, centre
-        while len(left):
-            covered = np.linalg.norm(self.x[left] - self.x[first], axis=1) <= radius / 2
-            self.children[node].append(self._add(left[covered], first, radius / 2))
-            left = left[~covered]
-            first = int(left[0]) if len(left) else -1
-        return node
+        near = 1 - radius**2 / 8  # cosine at that distance
+        left = np.ones(len(members), bool)
+        first = centre
+        while True:
+            covered = left & (own @ self.x[first] >= near)
+            covered |= left & (members == first)
+            self.children[node].append(self._add(members[covered], first, radius / 2))
+            left &= ~covered
+            at = int(left.argmax())
+            if not left[at]:
+                return node
+            first = int(members[at])
+
+
+def _distance(cosine: float) -> float:
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine)))
 
 
 class _Groups:
@@ -102,10 +113,31 @@ def dual_links(
     groups = _Groups(len(counts))
     epsilon = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     todo: list[tuple[int, int, float]] = []
-    single = [np.array([len(m) == 1 for m in t.members], bool) for t in (left, other)]
+    sizes = [np.array([len(m) for m in t.members], np.int64) for t in (left, other)]
+    starts = [np.cumsum(n) - n for n in sizes]
+    flat = [np.concatenate([*t.members, np.zeros(0, np.int64)]) for t in (left, other)]
+    leaf = [
+        np.array([not c and len(m) <= LEAF for c, m in zip(t.children, t.members)], bool) for t in (left, other)
+    ]
+    centres = [np.array(t.centre, np.int64) for t in (left, other)]
+    radii = [np.array(t.radius) for t in (left, other)]
+
+    def compare_leaves(a: np.ndarray, b: np.ndarray) -> None:
+        """Point by point, for many pairs of leaves at once."""
+        products = sizes[0][a] * sizes[1][b]
+        for some in np.array_split(np.arange(len(a)), max(1, int(products.sum()) >> 15)):
+            n = products[some]
+            pair = np.repeat(some, n)
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            across = sizes[1][b[pair]]
+            i = flat[0][starts[0][a[pair]] + nth // across]
+            j = flat[1][starts[1][b[pair]] + nth % across]
+            if within:
+                once = (a[pair] != b[pair]) | (i < j)
+                i, j = i[once], j[once]
+            compare_points(i, j)
 
-    def compare_points(a: np.ndarray, b: np.ndarray) -> None:
-        i, j = np.array(left.centre)[a], np.array(other.centre)[b]
+    def compare_points(i: np.ndarray, j: np.ndarray) -> None:
         hit = np.einsum("ij,ij->i", left.x[i], other.x[j]) >= cosine
         i, j = i[hit], j[hit] + shift
         np.add.at(counts, i, weights[j])
@@ -116,22 +148,20 @@ def dual_links(
     def meet(p: list[int], q: list[int], same: bool) -> None:
         """Keep the pairs of nodes that may hold a link, some rows at a time."""
         p, q = np.array(p), np.array(q)
-        cq, rq = other.x[np.array(other.centre)[q]], np.array(other.radius)[q]
+        cq, rq = other.x[centres[1][q]], radii[1][q]
         rows = max(1, (1 << 18) // len(q))
         for k in range(0, len(p), rows):
             part = p[k : k + rows]
-            c, r = left.x[np.array(left.centre)[part]], np.array(left.radius)[part]
+            c, r = left.x[centres[0][part]], radii[0][part]
             d = np.sqrt(np.clip(2 - 2 * (c @ cq.T), 0, None))
             near = d <= r[:, None] + rq + epsilon + SLACK
             if same:
                 near &= np.arange(k, k + len(part))[:, None] <= np.arange(len(q))
             i, j = np.nonzero(near)
             a, b = part[i], q[j]
-            points = single[0][a] & single[1][b]
-            if within:
-                points &= a != b
-            compare_points(a[points], b[points])
-            rest = ~points
+            leaves = leaf[0][a] & leaf[1][b]
+            compare_leaves(a[leaves], b[leaves])
+            rest = ~leaves
             todo.extend(zip(a[rest].tolist(), b[rest].tolist(), d[i, j][rest].tolist()))
 
     if len(left.x) and len(other.x):
