@@ -55,12 +55,12 @@ def _words(docs: DataFrame) -> DataFrame:
 
 
 def parts(weights: DataFrame) -> DataFrame:
-    """Weights as whole parts of ``PERIOD``, at least one each, by largest remainders:
-    (source, parts). The table is small by its own bound."""
+    """Weights of fewer than ``PERIOD`` sources as whole parts of it, at least one each,
+    by largest remainders: (source, parts)."""
     one = Window.partitionBy(F.lit(0))
-    ranked = weights.select(
-        "source", (F.greatest("weight", F.lit(0.0)) / F.sum(F.greatest("weight", F.lit(0.0))).over(one)).alias("w")
-    )
+    weight = F.greatest(F.col("weight").cast("double"), F.lit(0.0))
+    share = F.try_divide(weight, F.sum(weight).over(one))  # without any weight all are equal
+    ranked = weights.select("source", F.coalesce(share, 1 / F.count("*").over(one)).alias("w"))
     free = F.lit(PERIOD) - F.count("*").over(one)
     ranked = ranked.select("source", "w", free.alias("free")).withColumn("exact", F.col("w") * F.col("free"))
     ranked = ranked.withColumn("base", F.floor("exact"))
