@@ -14,6 +14,9 @@ from pyspark.sql.window import Window
 
 from martworks.llm import common, language_id, mixing, near_duplicates, packing, pii
 
+#: Documents of which so many in 100 word shingles are the same are near duplicates here.
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model accepts; it is fitted on their own labels."""
@@ -24,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id. Of
     rows that repeat an id the first by their other columns stays; rows without an id stay."""
-    kept = near_duplicates.near_duplicates(docs).where("kept and doc_id is not null")
+    kept = near_duplicates.near_duplicates(docs, NEAR_PERCENT).where("kept and doc_id is not null")
     ids = kept.select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
     first = Window.partitionBy("doc_id").orderBy(*rest)

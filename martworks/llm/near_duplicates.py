@@ -12,8 +12,8 @@ bounded unit; only a spanning star of the links found leaves the unit. Groups be
 bounds of a unit are compared bucket by bucket, and buckets beyond it block pair by block
 pair: nothing is capped.
 
-With 48 bands of 7 bins a pair at the threshold of 0.85 fails to meet with a probability
-of (1 - 0.85^7)^48, about 1e-8.
+With 48 bands of 7 bins a pair at a threshold of 0.85 fails to meet with a probability
+of (1 - 0.85^7)^48, about 1e-8; at 0.8 with about 1e-5.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from martworks.llm import common
 
 BANDS, ROWS = 48, 7
 BINS = BANDS * ROWS
-#: Links need 100 * intersection >= PERCENT * union.
+#: Links need 100 * intersection >= PERCENT * union, where a caller names no other share.
 PERCENT = 85
 #: Bounds of what one task compares at once.
 UNIT_DOCS, UNIT_SHINGLES = 4096, 2_000_000
@@ -162,22 +162,23 @@ def links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> li
     return out
 
 
-def _compare(group: pd.DataFrame) -> pd.DataFrame:
+def _compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
     sets = common.shingle_sets(pa.array(group["text"], pa.large_string()))
     ids = group["id"].to_numpy()
     out: list[tuple[int, int]] = []
     parts = group.groupby("part", sort=False).indices
     for rows in parts.values():
         if len(rows) > 1:
-            out += links(ids[rows], [sets[i] for i in rows])
+            out += links(ids[rows], [sets[i] for i in rows], percent)
     found = pd.DataFrame(out, columns=["a", "b"]).astype("int64")
     common.release()
     return found
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Groups of near duplicates of ``docs`` (doc_id, text): doc_id, n_shingles,
-    component_id, kept; one row per row of ``docs``, other columns are ignored.
+    component_id, kept; one row per row of ``docs``, other columns are ignored. Two texts
+    link whose sets share ``percent`` of their union or more.
 
     Null and word-free texts have an empty set and link with nothing. Equal sets link.
     Rows that repeat a doc_id are one document: its links are those of all its texts,
@@ -233,7 +234,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     found = (
         units.join(texts, "id").groupBy("unit")
-        .applyInPandas(_compare, "a long, b long")
+        .applyInPandas(lambda group: _compare(group, percent), "a long, b long")
     )
     linked = common.components(found.union(twice), f"{path}/linked")
     linked = linked.select(F.col("id").alias("rep"), "component")

@@ -35,7 +35,7 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

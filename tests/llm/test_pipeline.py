@@ -46,6 +46,25 @@ def test_one_of_each_group_stays(stages):
     assert len(_texts(stages[2])) < len(before)
 
 
+def test_near_stage_drops_pairs_from_four_fifths(spark, sf_dir):
+    rows, want = [], []
+    for k in range(40):  # the last 9 to 28 of 200 words differ
+        words, tail = [f"w{k}x{i}" for i in range(200)], 9 + k % 20
+        a, b = " ".join(words), " ".join(words[:-tail] + [f"t{k}x{i}" for i in range(tail)])
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        x, y = brute.shingles(a), brute.shingles(b)
+        near = 100 * len(x & y) >= 80 * len(x | y)
+        want += [2 * k] if near else [2 * k, 2 * k + 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert sorted(_texts(kept)) == want
+    assert len(brute.groups(rows, 80)) - len({c for _, c in brute.groups(rows, 80).values()}) == 80 - len(want)
+    assert any(80 <= 100 * s < 85 for s in (
+        len(brute.shingles(rows[i][1]) & brute.shingles(rows[i + 1][1]))
+        / len(brute.shingles(rows[i][1]) | brute.shingles(rows[i + 1][1])) for i in range(0, 80, 2)
+    ))
+
+
 def test_personal_data_goes(stages):
     before, after = _texts(stages[2]), _texts(stages[3])
     assert after == {i: pii.redacted_text(t) for i, t in before.items()}
