@@ -1,18 +1,23 @@
-"""Mixing of sources to target weights by proportionate-fair scheduling.
+"""Mixing of sources to target weights.
 
-Each source's documents, in a hashed order, form blocks of about ``BLOCK_WORDS`` words.
-Block i (from 1) of a source with weight w is released at slot floor((i - 1) / w) and due
-at slot ceil(i / w); in each slot the released block with the earliest deadline goes
-next. As the weights add up to one, every block meets its deadline, and a source is
-never a whole block ahead of or behind its weight while all sources last.
+Each source's documents, in a hashed order, form blocks of about ``BLOCK_WORDS`` words. A
+binary tree with one leaf for each source deals out the slots: of the first k slots of a
+node its left child gets round(k p), where p is its share of the node's weight, and the
+right child the others. So the slot of a block is worked out by itself, from its number in
+its source and the shares on the way to the root; no schedule is stored or gone through.
 
-Weights are whole parts of ``PERIOD``, so the schedule repeats after that many slots: one
-period is worked out, whatever the size of the corpus, and its slots are joined to the
-blocks. All rows stay; when a source is used up its slots are skipped, and the others go
-on in their proportion.
+A leaf lies at depth ceil(-log2 w) for the share w of its source (a Shannon code, numbered
+canonically), so the roundings on its way add up to less than two blocks: however many
+sources and slots there are, a source is less than two blocks ahead of or behind its
+weight while all sources last. Every source has a weight of its own, in units of 2^-50;
+shares in a node are kept to 2^-40.
+
+All rows stay; when a source is used up its slots are skipped, and the others go on in
+their proportion.
 
 Everything is DataFrame operations. No window spans a source: blocks are numbered by sums
-over hashed buckets of bounded expected size.
+over hashed buckets of bounded expected size, and so are the sources of one depth.
+schedule() is the sequential form for weights in whole thousandths, earliest deadline first.
 """
 
 from __future__ import annotations
@@ -25,8 +30,11 @@ from martworks.llm import common
 
 PERIOD = 1000
 BLOCK_WORDS = 20_000
-#: Sources with weights of their own; further ones form one class together.
+#: Sources that mix_source names; further ones are shown as ``REST`` there.
 SOURCES = 100
+#: Weights are whole numbers of units, this many in all, and a share of a node's weight
+#: is a whole part of SHARE. A share of the whole below LEAST counts as LEAST.
+UNITS, SHARE, LEAST = 1 << 50, 1 << 40, 1e-12
 #: Target weights are shares of words to this power: small sources count for more.
 TEMPERATURE = 0.7
 BUCKET_ROWS = 5_000
@@ -34,17 +42,9 @@ REST = "\x00rest"
 
 
 def source_weights(docs: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
-    """Targets from the data: (source, weight) of the ``SOURCES`` largest sources, and of
-    all others together under the name ``REST`` if there are more."""
+    """Targets from the data: (source, weight) of every source."""
     words = _words(docs).groupBy("source").agg(F.sum("words").alias("words"))
-    largest = words.orderBy(F.desc("words"), "source").limit(SOURCES).withColumn("own", F.lit(True))
-    all_ = words.join(
-        largest.select(F.col("source").alias("s"), "own"), F.col("source").eqNullSafe(F.col("s")), "left"
-    )
-    classes = all_.groupBy(
-        F.when(F.col("own"), F.col("source")).otherwise(F.lit(REST)).alias("source")
-    ).agg(F.sum("words").alias("words"))
-    return classes.select("source", F.pow(F.col("words").cast("double"), F.lit(temperature)).alias("weight"))
+    return words.select("source", F.pow(F.col("words").cast("double"), F.lit(temperature)).alias("weight"))
 
 
 def _words(docs: DataFrame) -> DataFrame:
@@ -117,20 +117,83 @@ def schedule(weights: DataFrame) -> DataFrame:
     )
 
 
+def paths(weights: DataFrame, path: str) -> DataFrame:
+    """(source, path) of each of ``weights`` (source, weight), where path lists the nodes
+    with two children from the source's leaf to the root: whether it lies on the left, and
+    the left child's share of the node in parts of SHARE."""
+    weight = F.coalesce(F.nanvl(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0))
+    weights = weights.select("source", F.greatest(weight, F.lit(0.0)).alias("weight"))
+    total, n = weights.agg(F.sum("weight"), F.count("*")).first()
+    if not total:  # without any weight all are equal
+        weights, total = weights.withColumn("weight", F.lit(1.0)), float(n or 1)
+    floored = weights.withColumn("weight", F.greatest("weight", F.lit(total * LEAST)))
+    total = floored.agg(F.sum("weight")).first()[0] or 1.0
+    share = F.col("weight") / F.lit(total)
+    leaves = floored.select(
+        "source",
+        F.greatest(F.lit(1), F.round(share * UNITS)).cast("long").alias("units"),
+        F.greatest(F.lit(0), F.ceil(-F.log2(share))).cast("int").alias("depth"),
+        F.pmod(F.xxhash64("source"), F.lit(max(1, -(-n // BUCKET_ROWS)))).alias("bucket"),
+    )
+    leaves = common.stored(leaves, f"{path}/leaves")
+    sizes = leaves.groupBy("depth", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("depth").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("depth", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    # Leaves of one depth are numbered on from twice the number after the depth above.
+    counts = {r["depth"]: r["count"] for r in leaves.groupBy("depth").count().collect()}
+    first, code = {}, 0
+    for depth in range(max(counts, default=0) + 1):
+        first[depth] = code
+        code = (code + counts.get(depth, 0)) << 1
+    firsts = F.element_at(F.array(*(F.lit(x).cast("long") for x in first.values())), F.col("depth") + 1)
+    rank = F.row_number().over(Window.partitionBy("depth", "bucket").orderBy("source")) - 1
+    leaves = leaves.withColumn("rank", rank).join(sizes, ["depth", "bucket"])
+    leaves = leaves.withColumn("code", firsts + F.col("before") + F.col("rank"))
+    at = F.expr("explode_outer(if(depth > 0, sequence(0, depth - 1), null))").alias("at")
+    steps = leaves.select("source", "depth", "units", "code", at)
+    steps = common.stored(
+        steps.select(
+            "source", "units", "at", F.expr("shiftright(code, depth - at)").alias("node"),
+            F.expr("shiftright(code, depth - at - 1) % 2 = 0").alias("left"),
+        ),
+        f"{path}/steps",
+    )
+    nodes = steps.where("at is not null").groupBy("at", "node").agg(
+        F.sum(F.when(F.col("left"), F.col("units")).otherwise(0)).alias("lower"), F.sum("units").alias("units")
+    ).where("lower > 0 and lower < units")
+    part = F.round(F.col("lower") / F.col("units") * SHARE)
+    nodes = nodes.select("at", "node", F.least(F.greatest(part, F.lit(1)), F.lit(SHARE - 1)).cast("long").alias("p"))
+    entry = F.when(F.col("p").isNotNull(), F.struct((-F.col("at")).alias("up"), "left", "p"))
+    return common.stored(
+        steps.join(nodes, ["at", "node"], "left").groupBy("source").agg(F.sort_array(F.collect_list(entry)).alias("path")),
+        f"{path}/paths",
+    )
+
+
+#: Slot of block ``_block`` (both from 0): the left child has its k-th slot at
+#: ceil((k + 1/2) / p) - 1 and the right one at floor((k + 1/2) / (1 - p)) of the node's.
+_SLOT = f"""aggregate(_path, _block, (k, x) -> if(x.left,
+    (cast(2 * k + 1 as decimal(20,0)) * {SHARE}bd - 1bd) div cast(2 * x.p as decimal(14,0)),
+    (cast(2 * k + 1 as decimal(20,0)) * {SHARE}bd) div cast(2 * ({SHARE} - x.p) as decimal(14,0))))"""
+
+
 def mixed(docs: DataFrame, weights: DataFrame | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every row of ``docs`` with its place in the mixture: its own columns and
-    ``mix_source`` (the class of its source), ``mix_block`` (its number in the source,
-    from 0), ``mix_slot`` and ``mix_order`` (within the slot). Ordered by mix_slot and mix_order the
-    rows are the mixture. ``weights``: (source, weight); None takes source_weights().
-    Sources without a weight go into one class with the smallest weight, ``REST``.
+    ``mix_source`` (its source, or ``REST`` beyond the ``SOURCES`` largest), ``mix_block``
+    (its number in the source, from 0), ``mix_slot`` and ``mix_order`` (within the slot).
+    Ordered by mix_slot and mix_order the rows are the mixture. ``weights``: (source,
+    weight); None takes source_weights(). With ``weights``, sources without one go into
+    one class with the smallest weight, ``REST``.
 
     A null source is a source of its own. Null and empty texts count as one word. Rows
     that repeat stay. Columns of ``docs`` that have one of the new names are replaced. An
     empty table gives an empty result."""
     path = common.folder(docs.sparkSession)
-    weights = source_weights(docs) if weights is None else weights
-    plan = common.stored(schedule(_with_rest(weights)), f"{path}/schedule")
-    classes = plan.select("source").distinct().withColumn("listed", F.lit(True))
+    given = weights is not None
+    weights = common.stored(_with_rest(weights) if given else source_weights(docs), f"{path}/weights")
+    plan = paths(weights, path)
+    named = weights.select("source") if given else weights.orderBy(F.desc("weight"), "source").limit(SOURCES)
+    named = named.select(F.col("source").alias("_s"), F.lit(True).alias("listed"))
     own = [c for c in docs.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_order")]
     rows = docs.select(
         F.struct(*own).alias("own"),  # so that no name of theirs can clash
@@ -141,48 +204,41 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, block_words: int =
             F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(" ")), F.lit("\n"))
         ) + 1).cast("long").alias("_words"),
     )
-    listed = classes.select(F.col("source").alias("_s"), "listed")
-    rows = rows.join(F.broadcast(listed), F.col("source").eqNullSafe(F.col("_s")), "left").withColumn(
+    rows = rows.join(named, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn(
         "mix_source", F.when(F.col("listed"), F.col("source")).otherwise(F.lit(REST))
-    ).drop("_s", "listed")
+    ).withColumn("_class", F.col("mix_source") if given else F.col("source")).drop("_s", "listed")
     n = docs.count()
     buckets = max(1, -(-n // BUCKET_ROWS))
     rows = rows.withColumn("_bucket", F.pmod(F.shiftright("_h", 20), F.lit(buckets)))
     # Words before each bucket of a source, from one row per source and bucket.
-    sums = rows.groupBy("mix_source", "_bucket").agg(F.sum("_words").alias("_sum"))
-    before = Window.partitionBy("mix_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("_class", "_bucket").agg(F.sum("_words").alias("_sum"))
+    before = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = common.stored(
-        sums.select("mix_source", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")),
+        sums.select("_class", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")),
         f"{path}/buckets",
     )
-    inside = Window.partitionBy("mix_source", "_bucket").orderBy("_h", "doc_id", "_words")
+    inside = Window.partitionBy("_class", "_bucket").orderBy("_h", "doc_id", "_words")
     numbered = rows.withColumn(
         "_at", F.sum("_words").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_words")
     )
-    keys = sums.select(F.col("mix_source").alias("_m"), F.col("_bucket").alias("_b"), "_before")
+    keys = sums.select(F.col("_class").alias("_m"), F.col("_bucket").alias("_b"), "_before")
     numbered = numbered.join(
-        keys, F.col("mix_source").eqNullSafe(F.col("_m")) & (F.col("_bucket") == F.col("_b"))
+        keys, F.col("_class").eqNullSafe(F.col("_m")) & (F.col("_bucket") == F.col("_b"))
     ).withColumn("_at", F.col("_at") + F.col("_before"))
-    numbered = numbered.withColumn("mix_block", F.floor(F.col("_at") / block_words))
-    slots = plan.select(F.col("source").alias("_p"), "parts", F.col("number").alias("_n"), F.col("slot").alias("_slot"))
-    whole = plan.groupBy("source").agg(F.max("parts").alias("_parts")).withColumnRenamed("source", "_w")
-    numbered = numbered.join(F.broadcast(whole), F.col("mix_source").eqNullSafe(F.col("_w")))
-    placed = numbered.join(
-        F.broadcast(slots),
-        F.col("mix_source").eqNullSafe(F.col("_p"))
-        & (F.pmod(F.col("mix_block"), F.col("_parts")) + 1 == F.col("_n")),
-    )
+    numbered = numbered.withColumn("_block", F.floor(F.col("_at") / block_words).cast("long"))
+    leaves = plan.select(F.col("source").alias("_p"), F.col("path").alias("_path"))
+    placed = numbered.join(leaves, F.col("_class").eqNullSafe(F.col("_p")))
     return placed.select(
         *(F.col("own").getField(c).alias(c) for c in own),
         "mix_source",
-        F.col("mix_block").cast("long").alias("mix_block"),
-        (F.floor(F.col("mix_block") / F.col("_parts")) * PERIOD + F.col("_slot")).cast("long").alias("mix_slot"),
-        (F.col("_at") - F.col("mix_block") * block_words).cast("long").alias("mix_order"),
+        F.col("_block").alias("mix_block"),
+        F.expr(_SLOT).cast("long").alias("mix_slot"),
+        (F.col("_at") - F.col("_block") * block_words).cast("long").alias("mix_order"),
     )
 
 
 def _with_rest(weights: DataFrame) -> DataFrame:
-    """``weights`` of at most SOURCES + 1 classes, ``REST`` among them."""
+    """``weights`` with ``REST`` among them, each source once."""
     least = weights.agg(F.min("weight").alias("weight")).select(
         F.lit(REST).alias("source"), F.coalesce("weight", F.lit(1.0)).alias("weight")
     )

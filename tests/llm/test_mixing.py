@@ -73,3 +73,40 @@ def test_sources_beyond_the_bound(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b", f"s{i % 9}") for i in range(90)], "doc_id long, text string, source string")
     got = mixing.mixed(docs).collect()
     assert len(got) == 90 and len({r.mix_source for r in got}) == 4
+
+
+def _lags(slots, weights):
+    """The largest distance of any source from its weight after any slot."""
+    total, done, worst = sum(weights.values()), Counter(), 0
+    for t, s in enumerate(slots, 1):
+        done[s] += 1
+        worst = max(worst, *(abs(done[x] - t * w / total) for x, w in weights.items()))
+    return worst
+
+
+def test_every_source_keeps_to_its_own_weight(spark):
+    # Uneven weights, 130 sources, one block for each row: far more than SOURCES, and no
+    # weight is a whole thousandth.
+    weights = {f"s{i:03}": 1.0 + (i % 7) * 0.37 for i in range(129)} | {"big": 150.0}
+    total, length = sum(weights.values()), 3000
+    rows, n = [], 0
+    for s, w in weights.items():
+        for _ in range(int(length * w / total) + 4):
+            rows.append((n, "w", s))
+            n += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    got = _order(mixing.mixed(docs, given, block_words=1).collect())
+    assert len({r.mix_slot for r in got}) == len(got)
+    with_rest = {**weights, mixing.REST: 1.0}
+    taken = {r.mix_slot: r.source for r in got}
+    assert _lags([taken.get(t, mixing.REST) for t in range(length)], with_rest) < 2
+
+
+def test_equal_sources_beyond_the_bound_are_served_alike(spark):
+    docs = spark.createDataFrame(
+        [(i, "w", f"s{i % 300}") for i in range(1500)], "doc_id long, text string, source string"
+    )
+    got = _order(mixing.mixed(docs, block_words=1).collect())
+    assert len({r.mix_slot for r in got}) == len(got) == 1500
+    assert _lags([r.source for r in got], {f"s{i}": 1.0 for i in range(300)}) < 2
