@@ -1,14 +1,17 @@
-"""Repeated passages by content-defined chunks.
-
-A gear rolling hash over the last 16 bytes of a text marks a cut wherever it falls below
-a threshold, so cuts depend on the text near them only and come back after an insertion.
-Chunks are compared by digest: one that occurs in two documents or more is a repeat. Runs
-of repeated chunks with ``MIN_WORDS`` words or more are passages; the document with the
-smallest id keeps a chunk, the others may lose it.
-
-Chunks are short (about 25 bytes on average), so that a passage of fifty words holds
-several whole ones wherever it starts. What is said of digests is summed before it is
-shuffled, and a digest that very many documents hold costs one row per task.
+"""Repeated passages by content-defined marks, with chunks for their measure.
+
+A passage is a stretch of text each word of which lies in ``MIN_WORDS`` words that another
+document holds too, byte by byte. Two steps find all of them. Of each ``MIN_WORDS`` words
+the half-window with the least hash is a mark: it depends on these words only, so equal
+texts have equal marks, and one that occurs in one document only rules out all windows that
+it stands for. The windows left are compared by digest, one for each word they begin at;
+those found in two documents or more are joined to passages at their true bounds. The
+document with the smallest id keeps a window, the others may lose it.
+
+Chunks say how much a passage holds: a gear rolling hash over the last 16 bytes marks a
+cut wherever it falls below a threshold, so cuts depend on the text near them only and
+come back after an insertion. What is said of digests is summed before it is shuffled,
+and a digest that very many documents hold costs one row per task.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,8 @@ from martworks.llm import common
 #: without a cut ends after MOST bytes.
 EVERY, LEAST, MOST = 16, 8, 160
 WINDOW = 16
-#: Words in a run of repeated chunks from which it is a passage. A run is shorter than
-#: the repeated text by a part of a chunk at either end, some seven words on average: 99
-#: in 100 passages of 51 words have such a run, one in two of 40 words and none of 33.
-MIN_WORDS = 33
+#: Words that have to be the same for a passage.
+MIN_WORDS = 51
 
 _GEAR = (common._constants(256, 41) >> np.uint64(48)).astype(np.uint16)
 
@@ -69,96 +69,158 @@ def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return ends
 
 
-def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_BYTE = common._constants(256, 43)
+_BASE = 0x9E3779B97F4A7C15 | 5
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+class _Text:
+    """Words of the texts of a slice and digests of windows of them, byte by byte."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        self.raw, self.offsets = common.text_bytes(texts)
+        self.starts, self.ends, self.places = common.word_bounds(self.raw, self.offsets)
+        powers = np.full(len(self.raw), np.uint64(_BASE))
+        powers = np.multiply.accumulate(powers)
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[self.raw] * powers, dtype=np.uint64)))
+        self.back = np.multiply.accumulate(np.full(len(self.raw) + 1, np.uint64(_BACK)))
+
+    def digests(self, first: np.ndarray, words: int) -> np.ndarray:
+        """Of the windows that begin at the words ``first``."""
+        a, b = self.starts[first], self.ends[first + words - 1]
+        sums = (self.sums[b] - self.sums[a]) * self.back[a]
+        return common.mix(sums + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    def marks(self, i: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of text ``i``: the first words of its marks, their digests, and for each window
+        of ``words`` words the place of its mark among them."""
+        a, b = int(self.places[i]), int(self.places[i + 1])
+        if b - a < words:
+            return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        half = (words + 1) // 2
+        own = self.digests(np.arange(a, b - half + 1), half)
+        least = np.lib.stride_tricks.sliding_window_view(own, words - half + 1).argmin(axis=1)
+        at, of = np.unique(least + np.arange(len(least)), return_inverse=True)
+        return a + at, own[at], of
+
+
+def _mark(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in common.chunks(batches, "text"):
+        text = _Text(batch.column("text"))
+        found = [text.marks(i, words)[1] for i in range(batch.num_rows)]
+        at = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+        digests = pa.array(np.concatenate(found).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("h"), pa.ListArray.from_arrays(at, digests)],
+            names=["doc_id", "h", "digests"],
+        )
+
+
+_WINDOWS = "doc_id long, digests array<long>, at array<int>, starts array<int>, ends array<int>, c0 array<int>, c1 array<int>"
+
+
+def _window(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The windows whose marks other documents hold too, of rows with text and hits."""
     for batch in common.chunks(batches, "text"):
-        raw, offsets = common.text_bytes(batch.column("text"))
-        ends = cuts(raw, offsets) if len(raw) else np.zeros(0, np.int64)
-        whole = raw.tobytes()
-        digests, a = [], 0
-        for b in ends.tolist():
-            digests.append(xxhash.xxh3_64_intdigest(whole[a:b]))
-            a = b
-        points = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
-        starts = common.word_bounds(raw, offsets)[0]
-        words = np.diff(np.searchsorted(starts, np.concatenate(([0], ends))))
-        places = np.searchsorted(ends, offsets, side="right")
-        at = pa.array(places.astype(np.int32))
-        base = np.repeat(points[offsets[:-1]], np.diff(places))
+        text = _Text(batch.column("text"))
+        firsts = []
+        for i in range(batch.num_rows):
+            _, digests, of = text.marks(i, words)
+            hit = np.zeros(len(digests), bool)
+            hit[batch.column("hits")[i].values.to_numpy()] = True
+            firsts.append(text.places[i] + np.flatnonzero(hit[of]))
+        sizes = np.array([len(x) for x in firsts])
+        first = np.concatenate(firsts)
+        a, b = text.starts[first], text.ends[first + words - 1]
+        points = np.concatenate(([0], np.cumsum((text.raw & 0xC0) != 0x80)))
+        base = np.repeat(points[text.offsets[:-1]], sizes)
+        ends = cuts(text.raw, text.offsets)
+        values = (
+            text.digests(first, words).view(np.int64), first - np.repeat(text.places[:-1], sizes), points[a] - base,
+            points[b] - base, np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b - 1, side="right"),
+        )
+        at = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                batch.column("row"),
-                pa.ListArray.from_arrays(at, pa.array(np.array(digests, np.uint64).view(np.int64))),
-                pa.ListArray.from_arrays(at, pa.array((points[ends] - base).astype(np.int32))),
-                pa.ListArray.from_arrays(at, pa.array(words.astype(np.int32))),
+                *(pa.ListArray.from_arrays(at, pa.array(x if j == 0 else x.astype(np.int32))) for j, x in enumerate(values)),
             ],
-            names=["doc_id", "row", "digests", "ends", "words"],
+            names=["doc_id", "digests", "at", "starts", "ends", "c0", "c1"],
         )
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """doc_id, row, and by chunk its digest, its end in code points and its words."""
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.monotonically_increasing_id().alias("row"),
-    ).mapInArrow(_chunk, "doc_id long, row long, digests array<long>, ends array<int>, words array<int>")
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Digests that two documents or more hold, of rows (doc_id, digests), and the smallest."""
+    return (
+        rows.select("doc_id", F.explode(F.array_distinct("digests")).alias("digest"))
+        .groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last").select("digest", "first")
+    )
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of ``docs`` (doc_id, text) that other documents hold too, one row each:
-    doc_id, start and end (code points, end exclusive), n_words, n_chunks, first_doc_id
-    (the smallest id that holds any of its chunks), cut (array of the parts, as start and
-    end, that a smaller id holds already), first (nothing is cut).
+    doc_id, start and end (code points, end exclusive), n_words, n_chunks (all that it
+    touches), first_doc_id (the smallest id that holds any ``min_words`` words of it), cut
+    (array of the parts, as start and end, that a smaller id holds already), first
+    (nothing is cut).
 
-    Null and empty texts have no chunks. Rows that share a doc_id are one document: what
+    Null and short texts have no passages. Rows that share a doc_id are one document: what
     repeats only among them is no repeat, and each row's passages are listed. Rows
     without doc_id are left out. Other columns are ignored. A document without a
     repeated passage has no row; an empty table gives an empty result."""
-    chunks = common.stored(
-        chunked(docs.where("doc_id is not null")), f"{common.folder(docs.sparkSession)}/chunks"
+    path = common.folder(docs.sparkSession)
+    texts = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("h"),  # rows with one id and text have the same marks
     )
-    repeated = (
-        chunks.select("doc_id", F.explode(F.array_distinct("digests")).alias("digest"))
-        .groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last").select("digest", "first")
+    marks = common.stored(
+        texts.mapInArrow(lambda x: _mark(x, min_words), "doc_id long, h long, digests array<long>"), f"{path}/marks"
     )
     hits = (
-        chunks.select("row", F.posexplode("digests").alias("k", "digest")).join(repeated, "digest")
-        .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "first"))).alias("hits"))
+        marks.select("doc_id", "h", F.posexplode("digests").alias("k", "digest"))
+        .join(_repeated(marks).select("digest"), "digest", "left_semi")
+        .groupBy("doc_id", "h").agg(F.collect_list("k").alias("hits"))
+    )
+    windows = common.stored(
+        texts.join(hits, ["doc_id", "h"]).select("doc_id", "text", "hits")
+        .mapInArrow(lambda x: _window(x, min_words), _WINDOWS)
+        .withColumn("row", F.monotonically_increasing_id()),
+        f"{path}/windows",
+    )
+    held = (
+        windows.select("row", F.posexplode("digests").alias("k", "digest")).join(_repeated(windows), "digest")
+        .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "first"))).alias("held"))
+        .select("row", F.col("held.k").alias("k"), F.col("held.first").alias("first"))
     )
-    held = hits.select("row", F.col("hits.k").alias("k"), F.col("hits.first").alias("first"))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "cut", "first"]
         for batch in batches:
             out: list[tuple] = []
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                k, first, ends, words = (
-                    batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("k", "first", "ends", "words")
-                )
-                breaks = np.flatnonzero(np.diff(k) > 1) + 1
+                get = lambda c: batch.column(c)[i].values.to_numpy(zero_copy_only=False)
+                k, first = get("k"), get("first")
+                at, starts, ends, c0, c1 = (get(c)[k] for c in ("at", "starts", "ends", "c0", "c1"))
+                # Windows that share a word are one passage.
+                breaks = np.flatnonzero(np.diff(at) >= min_words) + 1
                 for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(k)]):
-                    n_words = int(words[k[a] : k[b - 1] + 1].sum())
-                    if n_words < min_words:
-                        continue
-                    own = first[a:b]
-                    starts = np.where(k[a:b] > 0, ends[k[a:b] - 1], 0)
-                    cut = []
-                    for j in np.flatnonzero(own < doc_id).tolist():
-                        x, y = int(starts[j]), int(ends[k[a + j]])
-                        if cut and cut[-1][1] == x:
+                    cut: list[list[int]] = []
+                    for j in (a + np.flatnonzero(first[a:b] < doc_id)).tolist():
+                        x, y = int(starts[j]), int(ends[j])
+                        if cut and x <= cut[-1][1]:
                             cut[-1][1] = y
                         else:
                             cut.append([x, y])
+                    n_words, n_chunks = int(at[b - 1] - at[a]) + min_words, int(c1[b - 1] - c0[a]) + 1
                     out.append(
-                        (doc_id, int(starts[0]), int(ends[k[b - 1]]), n_words, b - a, int(own.min()), cut, not cut)
+                        (doc_id, int(starts[a]), int(ends[b - 1]), n_words, n_chunks, int(first[a:b].min()), cut, not cut)
                     )
             types = [pa.int64()] * 6 + [pa.list_(pa.list_(pa.int64())), pa.bool_()]
             columns = list(zip(*out)) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
-    return chunks.select("row", "doc_id", "ends", "words").join(held, "row").mapInArrow(
+    return windows.drop("digests").join(held, "row").mapInArrow(
         runs,
         "doc_id long, start long, end long, n_words long, n_chunks long, first_doc_id long, "
         "cut array<array<bigint>>, first boolean",

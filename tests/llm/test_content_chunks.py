@@ -94,3 +94,21 @@ def test_odd_rows(odd):
     found = content_chunks.passages(odd).collect()
     assert {r.doc_id for r in found} == {6, 7}  # rows of one id do not repeat each other
     assert content_chunks.passages(odd.where("false")).count() == 0
+
+
+def test_every_passage_over_fifty_words_is_found_at_its_bounds(spark):
+    rows, want = [], set()
+    for k in range(300):  # short words: such passages hold few whole chunks, or none
+        rnd = random.Random(k)
+        passage = " ".join("".join(rnd.choices("abcdefghij", k=rnd.randint(1, 3))) for _ in range(51 + k % 5))
+        for i in (2 * k, 2 * k + 1):
+            before = f"{_words(rnd.randint(1, 60), 20_000 + i)} X{i}"
+            text = f"{before} {passage} Y{i} {_words(rnd.randint(1, 60), 30_000 + i)}"
+            rows.append((i, text))
+            want.add((i, len(before) + 1, len(before) + 1 + len(passage), 51 + k % 5, i & ~1))
+    for i in range(40):  # fifty words are none; capitals and blanks count
+        rows += [(1000 + 2 * i, _words(50, i) + f" a{i}"), (1001 + 2 * i, f"b{i} " + _words(50, i))]
+        rows += [(2000 + 2 * i, _words(55, 500 + i)), (2001 + 2 * i, _words(27, 500 + i) + "  " + _words(55, 500 + i).upper())]
+    found = content_chunks.passages(_docs(spark, rows)).collect()
+    assert {(r.doc_id, r.start, r.end, r.n_words, r.first_doc_id) for r in found} == want
+    assert len(found) == len(want) and all(r.n_chunks >= 1 for r in found)
