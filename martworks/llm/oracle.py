@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from martworks.llm import merkle_sql
+
 WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
 _REACH = """reach(id, other) as (
@@ -88,4 +90,5 @@ select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(least_other, ve
   vec_id <= coalesce(least_other, vec_id) as kept
 from embeddings e left join degrees d on d.id = vec_id left join least_id l on l.id = vec_id
 """,
+    "op11_merkle": merkle_sql.manifest(),
 }

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.llm import (
-    common, content_chunks, cover_tree, host_quality, language_id, line_blocks, mixing, near_duplicates, neural_lm,
-    packing, pii,
+    common, content_chunks, cover_tree, host_quality, language_id, line_blocks, merkle, mixing, near_duplicates,
+    neural_lm, packing, pii,
 )
 
 
@@ -69,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_host_quality": op2_host_quality,
@@ -80,4 +84,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_content_chunks": op9_content_chunks,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
 }
