@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.llm import (
-    common, content_chunks, cover_tree, host_quality, language_id, line_blocks, merkle, mixing, near_duplicates,
+    alignment, common, content_chunks, cover_tree, host_quality, language_id, line_blocks, merkle, mixing, near_duplicates,
     neural_lm, packing, pii,
 )
 
@@ -73,6 +73,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_host_quality": op2_host_quality,
@@ -85,4 +89,5 @@ QUERIES = {
     "op9_content_chunks": op9_content_chunks,
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
+    "op13_alignment": op13_alignment,
 }
