@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -42,6 +43,13 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark then removes the shuffle files of steps that
+    nothing refers to any more. Between stored steps of a job this bounds the disk it takes."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``limit`` bytes of text each, one row at least."""
     for batch in batches:

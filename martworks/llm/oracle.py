@@ -91,4 +91,27 @@ select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(least_other, ve
 from embeddings e left join degrees d on d.id = vec_id left join least_id l on l.id = vec_id
 """,
     "op11_merkle": merkle_sql.manifest(),
+    "op12_suffix_repeats": """
+with texts as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+strings as (
+  select r, doc_id, i, substring(x, 2 * i + 1, 100) as s
+  from (select *, unnest(range(0, len(x) // 2 - 49)) as i from texts where doc_id is not null) u),
+least as (select s, min(doc_id) as m from strings group by s having min(doc_id) < max(doc_id)),
+hits as (select r, i from strings join least using (s) where doc_id > m),
+islands as (
+  select r, i, sum(new) over (partition by r order by i) as island
+  from (select r, i, case when i - lag(i) over (partition by r order by i) <= 50 then 0 else 1 end as new from hits) u),
+runs as (select r, min(i) as a, max(i) + 50 as b from islands group by r, island),
+kept as (
+  select r, a, b, substring(x, 2 * before + 1, 2 * (a - before)) as piece
+  from (select *, lag(b, 1, 0) over (partition by r order by a) as before from runs) u join texts using (r)),
+summed as (
+  select r, sum(b - a) as n_removed, count(*) as n_spans, string_agg(piece, '' order by a) as head, max(b) as last
+  from kept group by r)
+select doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(coalesce(head, '') || substring(x, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from texts left join summed using (r)
+""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martworks.llm import (
     alignment, common, content_chunks, cover_tree, host_quality, language_id, line_blocks, merkle, mixing, near_duplicates,
-    neural_lm, packing, pii,
+    neural_lm, packing, pii, suffix_repeats,
 )
 
 
@@ -73,6 +73,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.repeats_removed(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(_table(spark, sf_dir, "documents"))
 
@@ -89,5 +93,6 @@ QUERIES = {
     "op9_content_chunks": op9_content_chunks,
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
+    "op12_suffix_repeats": op12_suffix_repeats,
     "op13_alignment": op13_alignment,
 }
