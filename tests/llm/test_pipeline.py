@@ -41,7 +41,7 @@ def test_language_stage_keeps_what_the_model_accepts(stages):
 
 def test_one_of_each_group_stays(stages):
     before = _texts(stages[1])
-    groups = brute.groups(list(before.items()))
+    groups = brute.groups(list(before.items()), corpus_pipeline.NEAR_PERCENT)
     assert _texts(stages[2]) == {i: before[i] for i, (_, least) in groups.items() if i == least}
     assert len(_texts(stages[2])) < len(before)
 
