@@ -20,7 +20,6 @@ import json
 import os
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,8 +39,9 @@ SLICE, BLOCK = 1 << 20, 32 << 20
 REMEMBERED, LONGEST = 250_000, 1024
 #: Characters from which a text is tokenised in parts; a part ends before a space.
 PART = 1 << 18
-#: A run of characters as long as this goes to the tokenizer whose time stays near linear.
-RUN = re.compile(r"\S{400}|\s{400}")
+#: A run as long as this, of bytes that are white space or of others, goes to the tokenizer
+#: whose time stays near linear.
+RUN = 400
 #: Between characters that are no white space, a space alone: no token of either spans it.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -91,12 +91,26 @@ class ByteLevel:
             ranks = {t: i for t, i in ids.items() if len(t) == 1 or i >= merged[0]}
             self.ranks = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.ranks is None or RUN.search(text):
+    def encode(self, text: str, runs: bool = True) -> np.ndarray:
+        """``runs``: whether the text may have long runs."""
+        if self.ranks is None or runs:
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.ranks.encode_to_numpy(text, disallowed_special=())
 
 
+def has_runs(texts: list[bytes]) -> np.ndarray:
+    """Which of the texts have a run of RUN bytes or more without a change between white
+    space and others."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    white = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    cuts = np.union1d(np.flatnonzero(white[1:] != white[:-1]) + 1, ends)
+    long = cuts[np.diff(cuts, prepend=0) >= RUN]
+    found = np.zeros(len(texts), bool)
+    found[np.searchsorted(ends, long)] = True
+    return found
+
+
 class Pieces:
     """Ids by a model of pieces, which puts a space before the text."""
 
@@ -116,6 +130,12 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``starts[i]`` to ``starts[i] + sizes[i] - 1`` of all i in a row."""
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    return at + np.arange(len(at))
+
+
 class _Table:
     """Bytes of all tokens of a vocabulary in one array."""
 
@@ -125,18 +145,23 @@ class _Table:
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.lengths[ids]
-        at = np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes)
-        at += np.arange(len(at))
-        return self.flat[at]
+        return self.flat[_expanded(self.starts[ids], self.lengths[ids])]
+
+
+#: Links of a group from which they are counted by distinct ids instead of listed.
+MANY_LINKS = 4096
 
 
 class Windows(dict):
     """Alignments of windows by their ids. A key is the number of the first tokenizer's
-    ids, these ids and the other's, four bytes each; its value the place of the alignment."""
-
-    def __init__(self, first: list[int], second: list[int]) -> None:
-        self.first, self.second, self.base = first, second, len(second)
+    ids, these ids and the other's, four bytes each; its value the place of the alignment:
+    its groups as text, each with a semicolon, how many groups and links there are, and
+    the pairs linked, each with a number of times."""
+
+    def __init__(self, first: _Table, second: _Table) -> None:
+        self.first, self.second, self.base = first, second, len(second.lengths)
+        names = [f"{i}," for i in range(max(len(first.lengths), self.base))]
+        self.names = _Table([x.encode() for x in names])
         self.start()
 
     def start(self) -> None:
@@ -145,39 +170,56 @@ class Windows(dict):
         self.groups, self.links, self.ends = array("q"), array("q"), array("q")
         self.codes, self.times = array("q"), array("q")
 
-    def __missing__(self, key: bytes) -> int:
-        place, ids = len(self.texts), np.frombuffer(key, np.uint32).tolist()
-        a, b = ids[1 : 1 + ids[0]], ids[1 + ids[0] :]
-        linked: Counter[int] = Counter()
-        texts, links, i, j = [], 0, 0, 0
-        while i < len(a):
-            x, y, m, n = self.first[a[i]], self.second[b[j]], i + 1, j + 1
-            while x != y:
-                if x < y:
-                    x += self.first[a[m]]
-                    m += 1
-                else:
-                    y += self.second[b[n]]
-                    n += 1
-            links += (m - i) * (n - j)
-            if m - i == n - j == 1:
-                linked[a[i] * self.base + b[j]] += 1
-            else:
-                others = Counter(b[j:n]).items()
-                for p, k in Counter(a[i:m]).items():
-                    for q, l in others:
-                        linked[p * self.base + q] += k * l
-            texts.append(f"{','.join(map(str, a[i:m]))}|{','.join(map(str, b[j:n]))}")
-            i, j = m, n
-        self.texts.append(";".join(texts).encode())
-        self.groups.append(len(texts))
-        self.links.append(links)
-        self.codes.extend(linked.keys())
-        self.times.extend(linked.values())
-        self.ends.append(len(self.codes))
-        if len(key) <= LONGEST:
-            self[key] = place
-        return place
+    def learn(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> None:
+        """Add the alignments of windows with the ids ``a`` and ``b``, in their order."""
+        ends_a, ends_b = np.cumsum(self.first.lengths[a]), np.cumsum(self.second.lengths[b])
+        shared = np.zeros((2, int(ends_a[-1]) + 1), bool)
+        shared[0, ends_a] = shared[1, ends_b] = True
+        before = np.cumsum(shared[0] & shared[1])
+        group_a, group_b = before[ends_a - 1], before[ends_b - 1]
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        last = before[ends_a[np.cumsum(n_a) - 1]]  # groups up to the end of each window
+        groups = np.diff(last, prepend=0)
+        # The ids as text in the order of the groups; each ends with a comma, the last ones
+        # of a group's sides with other marks.
+        ids = np.empty(len(a) + len(b), np.int64)
+        sides = first_a + first_b
+        at_a = np.arange(len(a)) + (sides - first_a)[group_a]
+        at_b = np.arange(len(b)) + (sides + in_a - first_b)[group_b]
+        ids[at_a], ids[at_b] = a, b
+        text = self.names.joined(ids).copy()
+        ends = np.cumsum(self.names.lengths[ids])
+        text[ends[sides + in_a - 1] - 1] = ord("|")
+        text[ends[sides + in_a + in_b - 1] - 1] = ord(";")
+        text, cuts = text.tobytes(), [0, *ends[(sides + in_a + in_b)[last - 1] - 1].tolist()]
+        self.texts += [text[x:y] for x, y in zip(cuts, cuts[1:])]
+        # All links of the groups, the large ones apart.
+        links = in_a * in_b
+        listed = np.where(links <= MANY_LINKS, links, 0)
+        group = np.repeat(np.arange(len(links)), listed)
+        nth = np.arange(len(group)) - np.repeat(np.cumsum(listed) - listed, listed)
+        codes = a[first_a[group] + nth // in_b[group]] * self.base + b[first_b[group] + nth % in_b[group]]
+        times = np.ones(len(codes), np.int64)
+        window = np.repeat(np.arange(len(groups)), groups)
+        of = window[group]
+        large = np.flatnonzero(links > MANY_LINKS)
+        if len(large):
+            more = [[of], [codes], [times]]
+            for g in large.tolist():
+                x, p = np.unique(a[first_a[g] : first_a[g] + in_a[g]], return_counts=True)
+                y, q = np.unique(b[first_b[g] : first_b[g] + in_b[g]], return_counts=True)
+                more[0].append(np.full(len(x) * len(y), window[g]))
+                more[1].append((x[:, None] * self.base + y).ravel())
+                more[2].append((p[:, None] * q).ravel())
+            of, codes, times = map(np.concatenate, more)
+            order = np.argsort(of, kind="stable")
+            of, codes, times = of[order], codes[order], times[order]
+        self.groups.frombytes(groups.astype(np.int64).tobytes())
+        self.links.frombytes(np.diff(np.concatenate(([0], np.cumsum(links)))[last], prepend=0).astype(np.int64).tobytes())
+        self.ends.frombytes((len(self.codes) + np.cumsum(np.bincount(of, minlength=len(groups)))).astype(np.int64).tobytes())
+        self.codes.frombytes(codes.astype(np.int64).tobytes())
+        self.times.frombytes(times.tobytes())
 
 
 def parts(text: str, size: int = PART) -> list[str]:
@@ -200,7 +242,7 @@ class Aligner:
     def __init__(self, first: str, second: str) -> None:
         self.a, self.b = ByteLevel(first), Pieces(second)
         self.first, self.second = _Table(self.a.bytes), _Table(self.b.bytes)
-        self.windows = Windows(self.first.lengths.tolist(), self.second.lengths.tolist())
+        self.windows = Windows(self.first, self.second)
         self.pairs = len(self.a.bytes) * len(self.b.bytes)
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -210,9 +252,9 @@ class Aligner:
         split = [parts(t) if t else [] for t in texts]
         own = np.repeat(np.arange(len(texts)), [len(p) for p in split])
         flat = list(chain.from_iterable(split))
-        ids_a = [self.a.encode(" " + p) for p in flat]
-        ids_b = self.b.encode(flat)
         raw = [b" " + p.encode() for p in flat]
+        ids_a = [self.a.encode(" " + p, r) for p, r in zip(flat, has_runs(raw).tolist())]
+        ids_b = self.b.encode(flat)
         n_a = np.array([len(x) for x in ids_a], np.int64)
         n_b = np.array([len(x) for x in ids_b], np.int64)
         sizes = np.array([len(x) for x in raw], np.int64)
@@ -265,12 +307,28 @@ class Aligner:
         keys[np.arange(len(b)) + np.repeat(starts + 1 + n_a - (last_b + 1 - n_b), n_b)] = b
         keys, at = keys.tobytes(), [*(4 * starts).tolist(), 4 * len(keys)]
         known = self.windows
-        found = np.array([known[keys[x:y]] for x, y in zip(at, at[1:])], np.int64)
+        get, place = known.get, len(known.texts)
+        listed = [keys[x:y] for x, y in zip(at, at[1:])]
+        found = np.array([get(key, -1) for key in listed], np.int64)
+        new = []
+        for i in np.flatnonzero(found < 0).tolist():
+            key = listed[i]
+            j = get(key, -1)
+            if j < 0:
+                j = place + len(new)
+                new.append(i)
+                if len(key) <= LONGEST:
+                    known[key] = j
+            found[i] = j
+        if new:
+            ids_a, ids_b = _expanded((last_a + 1 - n_a)[new], n_a[new]), _expanded((last_b + 1 - n_b)[new], n_b[new])
+            known.learn(a[ids_a], b[ids_b], n_a[new], n_b[new])
         return found, np.searchsorted(np.cumsum(sizes), ends_a[last_a], side="left")
 
     def group_texts(self, windows: list[int]) -> bytes:
+        """The groups of these windows in a row: ids of both sides, `1,2|3;4|5,6`."""
         known = self.windows.texts
-        return b";".join([known[w] for w in windows])
+        return b"".join([known[w] for w in windows])[:-1]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -282,12 +340,6 @@ def aligner(first: str, second: str) -> Aligner:
     return _ALIGNERS[first, second]
 
 
-def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places ``starts[i]`` to ``starts[i] + sizes[i] - 1`` of all i in a row."""
-    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return at + np.arange(len(at))
-
-
 _BLOCKS = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, block long, nth long, "
     "windows binary, pairs array<long>, held array<long>, w_ends binary, w_pairs binary, w_times binary"

@@ -140,7 +140,7 @@ def test_ranks_are_the_file(encoders):
     assert own.ranks is not None
     for c in [*range(0, 0xD800, 7), *range(0xE000, 0x11000), 0x1F600, 0x2FA1D, 0xE0001]:
         text = f" a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)}\n {chr(c)}"
-        assert own.encode(text).tolist() == own.slow.encode(text, add_special_tokens=False).ids
+        assert own.encode(text, runs=False).tolist() == own.slow.encode(text, add_special_tokens=False).ids
 
 
 def test_groups_give_the_ids(spark, encoders):
@@ -152,3 +152,8 @@ def test_groups_give_the_ids(spark, encoders):
 def test_only_texts_without_tokens(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "▁")], "doc_id long, text string")
     assert _rows(alignment.aligned(df)) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, 3)]
+
+
+def test_long_runs_are_found():
+    texts = [b"a b " * 300, b"x" * 399 + b" y", b"x" * 400, b"a" + b"\n" * 500, b"", "é".encode() * 200 + b" z", b"q"]
+    assert alignment.has_runs(texts).tolist() == [False, False, True, True, False, True, False]
