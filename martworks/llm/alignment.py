@@ -99,15 +99,16 @@ class ByteLevel:
 
 
 def has_runs(texts: list[bytes]) -> np.ndarray:
-    """Which of the texts have a run of RUN bytes or more without a change between white
-    space and others."""
+    """Which of the texts touch a run of RUN bytes or more, in all of them in a row, without
+    a change between white space and others."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     white = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    cuts = np.union1d(np.flatnonzero(white[1:] != white[:-1]) + 1, ends)
-    long = cuts[np.diff(cuts, prepend=0) >= RUN]
+    cuts = np.concatenate(([0], np.flatnonzero(white[1:] != white[:-1]) + 1, [len(data)]))
     found = np.zeros(len(texts), bool)
-    found[np.searchsorted(ends, long)] = True
+    for i in np.flatnonzero(np.diff(cuts) >= RUN).tolist():
+        first, last = np.searchsorted(ends, (cuts[i], cuts[i + 1] - 1), side="right")
+        found[first : last + 1] = True
     return found
 
 
@@ -136,6 +137,12 @@ def _expanded(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return at + np.arange(len(at))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct numbers in order; ``values`` is sorted in place."""
+    values.sort()
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 class _Table:
     """Bytes of all tokens of a vocabulary in one array."""
 
@@ -236,6 +243,22 @@ def parts(text: str, size: int = PART) -> list[str]:
     return out
 
 
+_POWER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _alike(keys: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the stretches of ``keys``: the first of each that is different, and for each stretch
+    which of them it equals. Hashes sort them, and the numbers themselves are compared."""
+    at = np.arange(len(keys)) - np.repeat(starts, lengths)
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), _POWER))
+    hashes = np.add.reduceat(common.mix(keys.astype(np.uint64)) * powers[at], starts)
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    same = first[which]
+    if (lengths[same] != lengths).any() or (keys[_expanded(starts[same], lengths)] != keys).any():
+        return np.arange(len(starts)), np.arange(len(starts))  # two have the same hash
+    return first, which
+
+
 class Aligner:
     """Both tokenizers and the windows seen so far; one in a Python worker."""
 
@@ -305,25 +328,26 @@ class Aligner:
         keys[starts] = n_a
         keys[np.arange(len(a)) + np.repeat(starts + 1 - (last_a + 1 - n_a), n_a)] = a
         keys[np.arange(len(b)) + np.repeat(starts + 1 + n_a - (last_b + 1 - n_b), n_b)] = b
-        keys, at = keys.tobytes(), [*(4 * starts).tolist(), 4 * len(keys)]
+        first, which = _alike(keys, starts, lengths)
+        chosen, ends = starts[first], starts[first] + lengths[first]
+        data = keys.tobytes()
         known = self.windows
-        get, place = known.get, len(known.texts)
-        listed = [keys[x:y] for x, y in zip(at, at[1:])]
-        found = np.array([get(key, -1) for key in listed], np.int64)
-        new = []
-        for i in np.flatnonzero(found < 0).tolist():
-            key = listed[i]
+        get, place, new = known.get, len(known.texts), []
+        found = np.empty(len(first), np.int64)
+        for i, (x, y) in enumerate(zip((4 * chosen).tolist(), (4 * ends).tolist())):
+            key = data[x:y]
             j = get(key, -1)
             if j < 0:
                 j = place + len(new)
                 new.append(i)
-                if len(key) <= LONGEST:
+                if y - x <= LONGEST:
                     known[key] = j
             found[i] = j
         if new:
+            new = first[new]
             ids_a, ids_b = _expanded((last_a + 1 - n_a)[new], n_a[new]), _expanded((last_b + 1 - n_b)[new], n_b[new])
             known.learn(a[ids_a], b[ids_b], n_a[new], n_b[new])
-        return found, np.searchsorted(np.cumsum(sizes), ends_a[last_a], side="left")
+        return found[which], np.searchsorted(np.cumsum(sizes), ends_a[last_a], side="left")
 
     def group_texts(self, windows: list[int]) -> bytes:
         """The groups of these windows in a row: ids of both sides, `1,2|3;4|5,6`."""
@@ -375,13 +399,15 @@ class _Block:
             self.windows.append(part)
         # Each pair once for each of its documents, then the documents of each pair.
         of = np.repeat(np.arange(len(texts)), np.diff(places))
-        seen = np.unique(of * len(known.texts) + w) if len(w) else w
+        seen = _distinct(of * len(known.texts) + w)
         of, w = np.divmod(seen, max(1, len(known.texts)))
         sizes = (ends - starts)[w]
-        held = np.unique(np.repeat(of, sizes) * self.own.pairs + codes[_expanded(starts[w], sizes)])
-        pairs, counts = np.unique(held % self.own.pairs, return_counts=True)
-        self.codes.append(pairs)
-        self.counts.append(counts)
+        held = _distinct(np.repeat(of, sizes) * self.own.pairs + codes[_expanded(starts[w], sizes)])
+        held %= self.own.pairs
+        held.sort()
+        first = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1]))) if len(held) else held
+        self.codes.append(held[first])
+        self.counts.append(np.diff(np.append(first, len(held))))
         self.size += texts.nbytes
 
     def full(self) -> bool:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from brute import LONG
 from sentencepiece import SentencePieceProcessor
@@ -155,5 +156,13 @@ def test_only_texts_without_tokens(spark):
 
 
 def test_long_runs_are_found():
-    texts = [b"a b " * 300, b"x" * 399 + b" y", b"x" * 400, b"a" + b"\n" * 500, b"", "é".encode() * 200 + b" z", b"q"]
-    assert alignment.has_runs(texts).tolist() == [False, False, True, True, False, True, False]
+    texts = [b" a b" * 300, b" " + b"x" * 398 + b" y", b" " + b"x" * 400, b" a" + b"\n" * 500, b" " + "é".encode() * 200, b" q"]
+    assert alignment.has_runs(texts).tolist() == [False, False, True, True, True, False]
+    assert alignment.has_runs([b" " + b"x" * 300, b"x" * 300, b" x"]).tolist() == [True, True, False]
+
+
+def test_alike_windows():
+    keys, lengths = np.array([1, 5, 6, 1, 5, 6, 1, 6, 5, 2, 5, 6, 7], np.uint32), np.array([3, 3, 3, 4])
+    first, which = alignment._alike(keys, np.cumsum(lengths) - lengths, lengths)
+    assert which[0] == which[1] and len({*which.tolist()}) == len(first) == 3
+    assert first[which].tolist() == [0, 0, 2, 3]
