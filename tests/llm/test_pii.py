@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import time
+
 import brute
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -52,3 +55,22 @@ def test_redaction(odd):
     by = {r.doc_id: r for r in out.collect()}
     assert by[12].text == "mail <EMAIL>, ip <IP> card <CARD> phone <PHONE>"
     assert by[12].n_chars == len(by[12].text) and by[1].text is None
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab@.-_1@. ", max_size=60))
+def test_addresses(text):
+    assert [s[:3] for s in pii.spans_of(text) if s[0] in ("email", "ip")] == [
+        s for s in brute.base_spans(text) if s[0] in ("email", "ip")
+    ]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["1" * 10**6, "1." * 500_000, "a" * 500_000 + "@" + "b" * 500_000, "a@" * 500_000, "+1(" * 300_000, "1 " * 500_000,
+     "AB12 CDEF " * 100_000, "a@b." * 250_000],
+)
+def test_time_grows_with_the_text(text):
+    began = time.process_time()
+    pii.spans_of(text)
+    assert time.process_time() - began < 5
