@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 
@@ -89,3 +90,45 @@ def test_odd_rows(spark):
     got = line_blocks.extracted(spark.createDataFrame(rows, schema)).collect()
     assert sorted((str(r.page_id), r.n_chars) for r in got) == [("1", 0), ("1", 0), ("3", 20_000 * 10 - 1), ("None", 199)]
     assert line_blocks.extracted(spark.createDataFrame([], schema)).count() == 0
+
+
+LONG = "".join(f"<p>Paragraph {i} of an article that is long enough to surge.</p>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content social-enabled">{LONG}</div>',
+        f'<article><div class="entry-content with share">{LONG}</div></article>',
+        f'<h1>Short</h1><div class="post no-sidebar shareable share">{LONG}</div>',
+    ],
+)
+def test_a_class_word_does_not_empty_a_page(page):
+    assert main_text(f"<body>{NAV}{page}{FOOT}</body>").endswith("Paragraph 4 of an article that is long enough to surge.")
+    comment = "<div class=comments><p>A comment that is about as long as a paragraph is.</p></div>"
+    assert "comment" not in main_text(f"<body>{page}{comment}</body>") or "share" in page
+
+
+def test_windows_decide_without_an_article(spark):
+    """The given pages give the same text when no element names the article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for p in pages:
+        assert main_text(re.sub(r"(</?)(article|main)\b", r"\1div", p.html)) == main_text(p.html)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, '<a "' * 250_000, '<a x="' * 170_000, "<b>" * 100_000 + "</i>" * 100_000, "<!" * 500_000,
+     "<script>" * 100_000, "<" * 10**6, "<p class=x>" * 60_000, "<a href='x\" " * 80_000, "<b x=" * 160_000],
+)
+def test_time_grows_with_the_page(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 5
+
+
+def test_tags_that_do_not_end():
+    assert main_text("<p>One two three <a href='x") == "One two three"
+    assert main_text("<p>One two three</p><script>var x") == "One two three"
+    assert main_text("<p>1 < 2 and 3 > 2</p>") == "1 < 2 and 3 > 2"
+    assert main_text('<p title="a > b">One</p>') == "One"
