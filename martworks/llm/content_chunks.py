@@ -1,17 +1,20 @@
-"""Repeated passages by content-defined marks, with chunks for their measure.
+"""Repeated passages by content-defined chunks.
+
+A gear rolling hash over the last 16 bytes is taken at every byte, and a text is cut where
+the hash is the least of some ``REACH`` neighbours: cuts depend on the text near them only
+and come back after an insertion, so the same passage has the same chunks wherever it
+stands. Chunks whose digest two documents hold are candidates.
 
 A passage is a stretch of text each word of which lies in ``MIN_WORDS`` words that another
-document holds too, byte by byte. Two steps find all of them. Of each ``MIN_WORDS`` words
-the half-window with the least hash is a mark: it depends on these words only, so equal
-texts have equal marks, and one that occurs in one document only rules out all windows that
-it stands for. The windows left are compared by digest, one for each word they begin at;
-those found in two documents or more are joined to passages at their true bounds. The
+document holds too, byte by byte. Candidates are extended to their true bounds by the
+windows of so many words that hold a candidate whole: these are compared by digest, one
+for each word they begin at, and those that two documents hold are joined to passages. The
 document with the smallest id keeps a window, the others may lose it.
 
-Chunks say how much a passage holds: a gear rolling hash over the last 16 bytes marks a
-cut wherever it falls below a threshold, so cuts depend on the text near them only and
-come back after an insertion. What is said of digests is summed before it is shuffled,
-and a digest that very many documents hold costs one row per task.
+Every ``REACH`` bytes have a cut, so 16 + 2 * REACH equal bytes have two in common and a
+whole chunk between them; ``MIN_WORDS`` words are never shorter, and no window is missed. A
+run of one byte again and again is not cut inside. What is said of digests is summed
+before it is shuffled, and a digest that very many documents hold costs one row per task.
 """
 
 from __future__ import annotations
@@ -25,9 +28,8 @@ from pyspark.sql import functions as F
 
 from martworks.llm import common
 
-#: One cut in so many bytes; cuts closer than LEAST to the one before are none; a chunk
-#: without a cut ends after MOST bytes.
-EVERY, LEAST, MOST = 16, 8, 160
+#: Each so many bytes have a cut; a chunk without one ends after MOST bytes.
+REACH, MOST = 40, 160
 WINDOW = 16
 #: Words that have to be the same for a passage.
 MIN_WORDS = 51
@@ -45,14 +47,31 @@ def gear(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _slide(values: np.ndarray, least, size: int) -> np.ndarray:
+    """``least`` of each ``size`` neighbours, by doubling."""
+    done = 1
+    while done * 2 <= size:
+        values = least(values[:-done], values[done:])
+        done *= 2
+    return least(values[: len(values) - (size - done)], values[size - done :]) if done < size else values
+
+
+def cuts(raw: np.ndarray, offsets: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Ends of all chunks of the texts that ``offsets`` divides ``raw`` into. Characters
-    are not cut. No cut looks back over the start of its text."""
-    below = np.uint16((1 << WINDOW) // EVERY)
-    marks = np.flatnonzero(gear(raw) < below) + 1
-    start = offsets[np.searchsorted(offsets, marks - 1, side="right") - 1]
-    marks = marks[marks - start >= WINDOW]
-    marks = marks[np.diff(marks, prepend=-LEAST) >= LEAST]
+    are not cut. No hash looks back over the start of its text."""
+    hashes = gear(raw).astype(np.uint32) + np.uint32(1)
+    solid = np.ones(len(raw), bool)
+    solid[1:] = (raw[1:] != raw[:-1]) | (hashes[1:] != hashes[:-1])
+    marks = np.zeros(0, np.int64)
+    if len(raw) >= reach:
+        least = _slide(hashes, np.minimum, reach)
+        inside = np.zeros(len(least), bool)  # neighbours that lie in one text, as do their hashes
+        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            inside[start + WINDOW - 1 : max(start, end - reach + 1)] = True
+        least[~inside] = 0
+        edge = np.zeros(reach - 1, np.uint32)
+        most = _slide(np.concatenate((edge, least, edge)), np.maximum, reach)
+        marks = np.flatnonzero((hashes == most) & solid) + 1
     ends = np.union1d(marks, offsets[1:][np.diff(offsets) > 0])
     before = np.concatenate(([0], ends[:-1]))
     extra = (ends - before - 1) // MOST
@@ -77,7 +96,8 @@ _BACK = pow(_BASE, -1, 1 << 64)
 class _Text:
     """Words of the texts of a slice and digests of windows of them, byte by byte."""
 
-    def __init__(self, texts: pa.Array) -> None:
+    def __init__(self, texts: pa.Array, words: int) -> None:
+        self.reach = max(2, min(REACH, (2 * words - 1 - WINDOW) // 2))
         self.raw, self.offsets = common.text_bytes(texts)
         self.starts, self.ends, self.places = common.word_bounds(self.raw, self.offsets)
         powers = np.full(len(self.raw), np.uint64(_BASE))
@@ -85,33 +105,46 @@ class _Text:
         self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[self.raw] * powers, dtype=np.uint64)))
         self.back = np.multiply.accumulate(np.full(len(self.raw) + 1, np.uint64(_BACK)))
 
-    def digests(self, first: np.ndarray, words: int) -> np.ndarray:
-        """Of the windows that begin at the words ``first``."""
-        a, b = self.starts[first], self.ends[first + words - 1]
+    def spans(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Digests of the bytes from ``a`` up to ``b``."""
         sums = (self.sums[b] - self.sums[a]) * self.back[a]
         return common.mix(sums + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def marks(self, i: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of text ``i``: the first words of its marks, their digests, and for each window
-        of ``words`` words the place of its mark among them."""
-        a, b = int(self.places[i]), int(self.places[i + 1])
-        if b - a < words:
-            return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        half = (words + 1) // 2
-        own = self.digests(np.arange(a, b - half + 1), half)
-        least = np.lib.stride_tricks.sliding_window_view(own, words - half + 1).argmin(axis=1)
-        at, of = np.unique(least + np.arange(len(least)), return_inverse=True)
-        return a + at, own[at], of
+    def digests(self, first: np.ndarray, words: int) -> np.ndarray:
+        """Of the windows that begin at the words ``first``."""
+        return self.spans(self.starts[first], self.ends[first + words - 1])
 
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ends and digests of all chunks, and the place of each text's first among them (one
+        more entry at the end)."""
+        ends = cuts(self.raw, self.offsets, self.reach)
+        begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        return ends, self.spans(begins, ends), np.searchsorted(ends, self.offsets, side="right")
 
-def _mark(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    def around(self, i: int, begins: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
+        """First words of the windows of text ``i`` that hold one of the chunks whole."""
+        a, b = int(self.places[i]), int(self.places[i + 1])
+        if b - a < words or not len(begins):
+            return np.zeros(0, np.int64)
+        last = np.searchsorted(self.starts[a:b], begins, side="right") - 1
+        first = np.maximum(np.searchsorted(self.ends[a:b], ends, side="left") - words + 1, 0)
+        last = np.minimum(last, b - a - words)
+        some = first <= last
+        steps = np.zeros(b - a + 1, np.int64)
+        np.add.at(steps, first[some], 1)
+        np.add.at(steps, last[some] + 1, -1)
+        return a + np.flatnonzero(np.cumsum(steps)[: b - a] > 0)
+
+
+def _chunk(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Digests of the chunks of each text."""
     for batch in common.chunks(batches, "text"):
-        text = _Text(batch.column("text"))
-        found = [text.marks(i, words)[1] for i in range(batch.num_rows)]
-        at = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
-        digests = pa.array(np.concatenate(found).view(np.int64))
+        _, digests, places = _Text(batch.column("text"), words).chunks()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("h"), pa.ListArray.from_arrays(at, digests)],
+            [
+                batch.column("doc_id"), batch.column("h"),
+                pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(digests.view(np.int64))),
+            ],
             names=["doc_id", "h", "digests"],
         )
 
@@ -120,21 +153,20 @@ _WINDOWS = "doc_id long, digests array<long>, at array<int>, starts array<int>,
 
 
 def _window(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """The windows whose marks other documents hold too, of rows with text and hits."""
+    """The windows around chunks that other documents hold too, of rows with text and hits."""
     for batch in common.chunks(batches, "text"):
-        text = _Text(batch.column("text"))
+        text = _Text(batch.column("text"), words)
+        ends, _, places = text.chunks()
+        begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
         firsts = []
         for i in range(batch.num_rows):
-            _, digests, of = text.marks(i, words)
-            hit = np.zeros(len(digests), bool)
-            hit[batch.column("hits")[i].values.to_numpy()] = True
-            firsts.append(text.places[i] + np.flatnonzero(hit[of]))
+            hit = places[i] + batch.column("hits")[i].values.to_numpy().astype(np.int64)
+            firsts.append(text.around(i, begins[hit], ends[hit], words))
         sizes = np.array([len(x) for x in firsts])
         first = np.concatenate(firsts)
         a, b = text.starts[first], text.ends[first + words - 1]
         points = np.concatenate(([0], np.cumsum((text.raw & 0xC0) != 0x80)))
         base = np.repeat(points[text.offsets[:-1]], sizes)
-        ends = cuts(text.raw, text.offsets)
         values = (
             text.digests(first, words).view(np.int64), first - np.repeat(text.places[:-1], sizes), points[a] - base,
             points[b] - base, np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b - 1, side="right"),
@@ -174,20 +206,23 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("text").cast("string")).alias("h"),  # rows with one id and text have the same marks
     )
-    marks = common.stored(
-        texts.mapInArrow(lambda x: _mark(x, min_words), "doc_id long, h long, digests array<long>"), f"{path}/marks"
+    chunks = common.stored(
+        texts.mapInArrow(lambda x: _chunk(x, min_words), "doc_id long, h long, digests array<long>"), f"{path}/chunks"
     )
-    hits = (
-        marks.select("doc_id", "h", F.posexplode("digests").alias("k", "digest"))
-        .join(_repeated(marks).select("digest"), "digest", "left_semi")
-        .groupBy("doc_id", "h").agg(F.collect_list("k").alias("hits"))
+    hits = common.stored(
+        chunks.select("doc_id", "h", F.posexplode("digests").alias("k", "digest"))
+        .join(_repeated(chunks).select("digest"), "digest", "left_semi")
+        .groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("k")).alias("hits")),
+        f"{path}/hits",
     )
+    common.let_go(docs.sparkSession)
     windows = common.stored(
         texts.join(hits, ["doc_id", "h"]).select("doc_id", "text", "hits")
         .mapInArrow(lambda x: _window(x, min_words), _WINDOWS)
         .withColumn("row", F.monotonically_increasing_id()),
         f"{path}/windows",
     )
+    common.let_go(docs.sparkSession)
     held = (
         windows.select("row", F.posexplode("digests").alias("k", "digest")).join(_repeated(windows), "digest")
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "first"))).alias("held"))

@@ -113,5 +113,26 @@ select doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed,
   cast(coalesce(n_spans, 0) as bigint) as n_spans,
   sha256(unhex(coalesce(head, '') || substring(x, 2 * coalesce(last, 0) + 1))) as kept_sha256
 from texts left join summed using (r)
+""",
+    "op9_content_chunks": r"""
+with texts as (select row_number() over () as r, doc_id, text from documents where doc_id is not null and text is not null),
+parts as (
+  select r, doc_id, unnest(regexp_extract_all(text, '[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+')) as part,
+    generate_subscripts(regexp_extract_all(text, '[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+'), 1) as i from texts),
+placed as (select *, sum(length(part)) over (partition by r order by i) as stop from parts),
+words as (
+  select r, doc_id, stop - length(part) as start, stop, row_number() over (partition by r order by i) as k
+  from placed where regexp_matches(part, '[^\x20\x09-\x0D]')),
+windows as (
+  select a.r, a.doc_id, a.k, a.start, b.stop, substring(text, cast(a.start as int) + 1, cast(b.stop - a.start as int)) as s
+  from words a join words b on a.r = b.r and b.k = a.k + 50 join texts t on t.r = a.r),
+least as (select s, min(doc_id) as least from windows group by s having min(doc_id) < max(doc_id)),
+held as (select w.*, least from windows w join least using (s)),
+islands as (
+  select *, sum(new) over (partition by r order by k) as island
+  from (select *, case when k - lag(k) over (partition by r order by k) < 51 then 0 else 1 end as new from held) u)
+select doc_id, cast(min(start) as bigint) as start, cast(max(stop) as bigint) as "end",
+  cast(max(k) - min(k) + 51 as bigint) as n_words, min(least) as first_doc_id, min(least) = doc_id as first
+from islands group by r, doc_id, island
 """,
 }

@@ -61,7 +61,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_content_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_chunks.passages(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "first"
+        "doc_id", "start", "end", "n_words", "first_doc_id", "first"
     )
 
 
