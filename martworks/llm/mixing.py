@@ -1,23 +1,17 @@
-"""Mixing of sources to target weights.
-
-Each source's documents, in a hashed order, form blocks of about ``BLOCK_WORDS`` words. A
-binary tree with one leaf for each source deals out the slots: of the first k slots of a
-node its left child gets round(k p), where p is its share of the node's weight, and the
-right child the others. So the slot of a block is worked out by itself, from its number in
-its source and the shares on the way to the root; no schedule is stored or gone through.
-
-A leaf lies at depth ceil(-log2 w) for the share w of its source (a Shannon code, numbered
-canonically), so the roundings on its way add up to less than two blocks: however many
-sources and slots there are, a source is less than two blocks ahead of or behind its
-weight while all sources last. Every source has a weight of its own, in units of 2^-50;
-shares in a node are kept to 2^-40.
-
-All rows stay; when a source is used up its slots are skipped, and the others go on in
-their proportion.
-
-Everything is DataFrame operations. No window spans a source: blocks are numbered by sums
-over hashed buckets of bounded expected size, and so are the sources of one depth.
-schedule() is the sequential form for weights in whole thousandths, earliest deadline first.
+"""Mixing of sources to target weights by Pfair scheduling.
+
+Each source's documents, in a hashed order, form blocks of about ``BLOCK_WORDS`` words. Block
+i of a source with the share w of the weights may run from the time (i - 1) / w on, its
+release, and is due at i / w. Slot after slot goes to the released block that is due
+first: no source is ever a whole block ahead of its share or behind it. When a source is
+used up its weight leaves the sum, time goes on faster by it, and the others keep to
+their shares of what is left; no slot stays empty and all rows stay.
+
+The schedule is a fold over the slots that holds the next block of each source. It is as
+long as there are blocks, at most ``MOST_BLOCKS``: beyond that blocks are longer. Everything
+else is spread: blocks are numbered by sums over hashed buckets of bounded expected
+size, so no window spans a source, and rows meet their block's slot in a join. All of it
+is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -28,17 +22,16 @@ from pyspark.sql.window import Window
 
 from martworks.llm import common
 
-PERIOD = 1000
 BLOCK_WORDS = 20_000
-#: Sources that mix_source names; further ones are shown as ``REST`` there.
-SOURCES = 100
-#: Weights are whole numbers of units, this many in all, and a share of a node's weight
-#: is a whole part of SHARE. A share of the whole below LEAST counts as LEAST.
-UNITS, SHARE, LEAST = 1 << 50, 1 << 40, 1e-12
+#: Blocks in a schedule; a corpus that has more gets longer ones.
+MOST_BLOCKS = 1 << 18
+#: Slots whose order is put together before it is kept.
+EPOCH = 1024
+#: A share of the weights below this counts as this.
+LEAST = 1e-9
 #: Target weights are shares of words to this power: small sources count for more.
 TEMPERATURE = 0.7
 BUCKET_ROWS = 5_000
-REST = "\x00rest"
 
 
 def source_weights(docs: DataFrame, temperature: float = TEMPERATURE) -> DataFrame:
@@ -54,194 +47,125 @@ def _words(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("source").cast("string").alias("source"), (blanks + 1).cast("long").alias("words"))
 
 
-def parts(weights: DataFrame) -> DataFrame:
-    """Weights of fewer than ``PERIOD`` sources as whole parts of it, at least one each,
-    by largest remainders: (source, parts)."""
-    one = Window.partitionBy(F.lit(0))
-    weight = F.greatest(F.col("weight").cast("double"), F.lit(0.0))
-    share = F.try_divide(weight, F.sum(weight).over(one))  # without any weight all are equal
-    ranked = weights.select("source", F.coalesce(share, 1 / F.count("*").over(one)).alias("w"))
-    free = F.lit(PERIOD) - F.count("*").over(one)
-    ranked = ranked.select("source", "w", free.alias("free")).withColumn("exact", F.col("w") * F.col("free"))
-    ranked = ranked.withColumn("base", F.floor("exact"))
-    left = F.col("free") - F.sum("base").over(one)
-    order = F.row_number().over(one.orderBy(F.desc(F.col("exact") - F.col("base")), "source"))
-    return ranked.select(
-        "source", (1 + F.col("base") + (order <= left).cast("int")).cast("int").alias("parts")
-    )
-
-
-def schedule(weights: DataFrame) -> DataFrame:
-    """One period: (source, parts, number, slot), where ``number`` counts a source's
-    blocks from 1. A fold over the slots keeps each source's next block; in each slot it
-    takes the released one with the earliest deadline, smaller sources' names first."""
-    listed = parts(weights).agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("source", F.lit("")).alias("key"), "source", "parts"))).alias("s")
-    )
-    p = F.lit(PERIOD)
-
-    def pick(done, t):
-        # (deadline, place) of the released blocks: the least is next.
-        nexts = F.transform(
-            done,
-            lambda d, i: F.when(
-                (d["n"] < d["parts"]) & (F.floor(d["n"] * p / d["parts"]) <= t),
-                F.struct(F.ceil((d["n"] + 1) * p / d["parts"]).alias("due"), i.alias("i")),
-            ),
-        )
-        return F.array_min(nexts)["i"]
-
-    start = F.struct(
-        F.transform("s", lambda x: F.struct(F.lit(0).alias("n"), x["parts"].alias("parts"))).alias("done"),
-        F.array().cast("array<int>").alias("order"),
-    )
-
-    def step(a, t):
-        chosen = F.transform(F.array(pick(a["done"], t)), lambda i: F.struct(
-            F.transform(
-                a["done"],
-                lambda d, j: F.struct((d["n"] + F.when(j == i, 1).otherwise(0)).alias("n"), d["parts"].alias("parts")),
-            ).alias("done"),
-            F.concat(a["order"], F.array(i)).alias("order"),
-        ))
-        return F.get(chosen, F.lit(0))
-
-    order = listed.select(
-        "s", F.aggregate(F.sequence(F.lit(0), p - 1), start, step, lambda a: a["order"]).alias("order")
-    )
-    slots = order.select("s", F.posexplode("order").alias("slot", "i")).where("i is not null")
-    slots = slots.select("slot", "i", F.get("s", F.col("i")).alias("x"))
-    return slots.select(
-        "slot", F.col("x.source").alias("source"), F.col("x.parts").alias("parts"),
-        F.row_number().over(Window.partitionBy("i").orderBy("slot")).alias("number"),
-    )
-
-
-def paths(weights: DataFrame, path: str) -> DataFrame:
-    """(source, path) of each of ``weights`` (source, weight), where path lists the nodes
-    with two children from the source's leaf to the root: whether it lies on the left, and
-    the left child's share of the node in parts of SHARE."""
+def shares(weights: DataFrame) -> DataFrame:
+    """(source, w) with w the share of each of ``weights`` (source, weight). Weights that are
+    null, NaN or negative count as none; without any weight all sources are equal."""
     weight = F.coalesce(F.nanvl(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0))
-    weights = weights.select("source", F.greatest(weight, F.lit(0.0)).alias("weight"))
-    total, n = weights.agg(F.sum("weight"), F.count("*")).first()
-    if not total:  # without any weight all are equal
-        weights, total = weights.withColumn("weight", F.lit(1.0)), float(n or 1)
-    floored = weights.withColumn("weight", F.greatest("weight", F.lit(total * LEAST)))
-    total = floored.agg(F.sum("weight")).first()[0] or 1.0
-    share = F.col("weight") / F.lit(total)
-    leaves = floored.select(
-        "source",
-        F.greatest(F.lit(1), F.round(share * UNITS)).cast("long").alias("units"),
-        F.greatest(F.lit(0), F.ceil(-F.log2(share))).cast("int").alias("depth"),
-        F.pmod(F.xxhash64("source"), F.lit(max(1, -(-n // BUCKET_ROWS)))).alias("bucket"),
-    )
-    leaves = common.stored(leaves, f"{path}/leaves")
-    sizes = leaves.groupBy("depth", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("depth").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("depth", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    # Leaves of one depth are numbered on from twice the number after the depth above.
-    counts = {r["depth"]: r["count"] for r in leaves.groupBy("depth").count().collect()}
-    first, code = {}, 0
-    for depth in range(max(counts, default=0) + 1):
-        first[depth] = code
-        code = (code + counts.get(depth, 0)) << 1
-    firsts = F.element_at(F.array(*(F.lit(x).cast("long") for x in first.values())), F.col("depth") + 1)
-    rank = F.row_number().over(Window.partitionBy("depth", "bucket").orderBy("source")) - 1
-    leaves = leaves.withColumn("rank", rank).join(sizes, ["depth", "bucket"])
-    leaves = leaves.withColumn("code", firsts + F.col("before") + F.col("rank"))
-    at = F.expr("explode_outer(if(depth > 0, sequence(0, depth - 1), null))").alias("at")
-    steps = leaves.select("source", "depth", "units", "code", at)
-    steps = common.stored(
-        steps.select(
-            "source", "units", "at", F.expr("shiftright(code, depth - at)").alias("node"),
-            F.expr("shiftright(code, depth - at - 1) % 2 = 0").alias("left"),
-        ),
-        f"{path}/steps",
-    )
-    nodes = steps.where("at is not null").groupBy("at", "node").agg(
-        F.sum(F.when(F.col("left"), F.col("units")).otherwise(0)).alias("lower"), F.sum("units").alias("units")
-    ).where("lower > 0 and lower < units")
-    part = F.round(F.col("lower") / F.col("units") * SHARE)
-    nodes = nodes.select("at", "node", F.least(F.greatest(part, F.lit(1)), F.lit(SHARE - 1)).cast("long").alias("p"))
-    entry = F.when(F.col("p").isNotNull(), F.struct((-F.col("at")).alias("up"), "left", "p"))
-    return common.stored(
-        steps.join(nodes, ["at", "node"], "left").groupBy("source").agg(F.sort_array(F.collect_list(entry)).alias("path")),
-        f"{path}/paths",
-    )
-
-
-#: Slot of block ``_block`` (both from 0): the left child has its k-th slot at
-#: ceil((k + 1/2) / p) - 1 and the right one at floor((k + 1/2) / (1 - p)) of the node's.
-_SLOT = f"""aggregate(_path, _block, (k, x) -> if(x.left,
-    (cast(2 * k + 1 as decimal(20,0)) * {SHARE}bd - 1bd) div cast(2 * x.p as decimal(14,0)),
-    (cast(2 * k + 1 as decimal(20,0)) * {SHARE}bd) div cast(2 * ({SHARE} - x.p) as decimal(14,0))))"""
+    weights = weights.groupBy("source").agg(F.max(F.greatest(weight, F.lit(0.0))).alias("weight"))
+    total = weights.agg(F.sum("weight")).first()[0]
+    share = F.greatest(F.col("weight") / F.lit(total), F.lit(LEAST)) if total else F.lit(1.0)
+    return weights.select("source", share.alias("w"))
+
+
+#: The fold. ``s`` lists the sources by name as (source, blocks, w); a state holds ``n``, how
+#: many blocks each has had, the time ``v``, and ``sum``, the weights of those not used up.
+#: A block is released when its time comes before the slot's end.
+_DUE = """transform(a.n, (d, i) -> if(d < s[i].blocks and (not {released} or d / s[i].w < a.v + (1 - 1e-9) / a.sum),
+    struct((d + 1) / s[i].w as due, i as i), null))"""
+_NEXT = f"""coalesce(array_min({_DUE.format(released='true')}).i, array_min({_DUE.format(released='false')}).i)"""
+_STEP = f"""transform(array({_NEXT}), k -> named_struct(
+    'n', transform(a.n, (d, i) -> if(i = k, d + 1, d)),
+    'v', a.v + 1 / a.sum,
+    'sum', if(a.n[k] + 1 = s[k].blocks, greatest(a.sum - s[k].w, {LEAST}D / 2), a.sum),
+    'order', concat(a.order, array(k))))[0]"""
+_FOLD = f"""aggregate(
+    sequence(0, (total - 1) div {EPOCH}),
+    named_struct('n', transform(s, x -> 0L), 'v', 0D, 'sum', aggregate(s, 0D, (t, x) -> t + x.w),
+        'order', cast(array() as array<array<int>>)),
+    (e, epoch) -> transform(array(aggregate(
+        sequence(1, least({EPOCH}, total - epoch * {EPOCH})),
+        named_struct('n', e.n, 'v', e.v, 'sum', e.sum, 'order', cast(array() as array<int>)),
+        (a, slot) -> {_STEP})), x -> named_struct('n', x.n, 'v', x.v, 'sum', x.sum, 'order', concat(e.order, array(x.order))))[0],
+    e -> e.order)"""
+
+
+def schedule(blocks: DataFrame, weights: DataFrame) -> DataFrame:
+    """Earliest deadline first: (source, block, slot) of all blocks, both numbered from 0.
+    ``blocks``: (source, blocks), ``weights``: (source, w) of the same sources. Where two
+    blocks are due at once the source that comes first by name, null before all, is next."""
+    both = blocks.join(weights, blocks["source"].eqNullSafe(weights["source"])).select(
+        F.coalesce(F.concat(F.lit("s"), blocks["source"]), F.lit("")).alias("key"), blocks["source"],
+        F.col("blocks").cast("long").alias("blocks"), "w",
+    ).where("blocks > 0")
+    listed = both.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("key", "source", "blocks", "w"))), lambda x: x.dropFields("key")).alias("s"),
+        F.sum("blocks").cast("int").alias("total"),
+    ).where("total > 0")
+    epochs = listed.select("s", F.posexplode(F.expr(_FOLD)).alias("epoch", "order"))
+    slots = epochs.select("s", "epoch", F.posexplode("order").alias("at", "i"))
+    number = F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1
+    slots = slots.select((F.col("epoch") * EPOCH + F.col("at")).cast("long").alias("slot"), "i", F.get("s", F.col("i"))["source"].alias("source"))
+    return slots.select("source", number.cast("long").alias("block"), "slot")
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every row of ``docs`` with its place in the mixture: its own columns and
-    ``mix_source`` (its source, or ``REST`` beyond the ``SOURCES`` largest), ``mix_block``
-    (its number in the source, from 0), ``mix_slot`` and ``mix_order`` (within the slot).
-    Ordered by mix_slot and mix_order the rows are the mixture. ``weights``: (source,
-    weight); None takes source_weights(). With ``weights``, sources without one go into
-    one class with the smallest weight, ``REST``.
-
-    A null source is a source of its own. Null and empty texts count as one word. Rows
-    that repeat stay. Columns of ``docs`` that have one of the new names are replaced. An
-    empty table gives an empty result."""
+    ``mix_source`` (its source), ``mix_block`` (its number in the source, from 0),
+    ``mix_slot`` and ``mix_order`` (within the slot). Ordered by mix_slot and mix_order
+    the rows are the mixture. ``weights``: (source, weight); None takes source_weights().
+    Sources without one among ``weights`` have the smallest of them each.
+
+    A null source is a source of its own. Null and empty texts count as one word. A text
+    longer than a block is a block, and blocks it reaches into have no rows. Rows that repeat
+    stay; rows of a source with equal hashes follow each other by id and words. Columns of
+    ``docs`` that have one of the new names are replaced. An empty table gives an empty
+    result."""
     path = common.folder(docs.sparkSession)
-    given = weights is not None
-    weights = common.stored(_with_rest(weights) if given else source_weights(docs), f"{path}/weights")
-    plan = paths(weights, path)
-    named = weights.select("source") if given else weights.orderBy(F.desc("weight"), "source").limit(SOURCES)
-    named = named.select(F.col("source").alias("_s"), F.lit(True).alias("listed"))
+    sizes = common.stored(
+        _words(docs).groupBy("source").agg(F.sum("words").alias("words"), F.count("*").alias("n")), f"{path}/sizes"
+    )
+    words, n = sizes.agg(F.coalesce(F.sum("words"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    block_words = max(block_words, -(-words // MOST_BLOCKS))
+    if weights is None:
+        weights = sizes.select("source", F.pow(F.col("words").cast("double"), F.lit(TEMPERATURE)).alias("weight"))
+    else:
+        weights = _of_all(weights, sizes)
+    weights = common.stored(shares(weights), f"{path}/weights")
+
     own = [c for c in docs.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_order")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    blanks = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" ")), F.lit("\n")))
     rows = docs.select(
         F.struct(*own).alias("own"),  # so that no name of theirs can clash
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("_key"),
         F.xxhash64("doc_id", "text").alias("_h"),
-        (F.length(F.coalesce("text", F.lit(""))) - F.length(
-            F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit(" ")), F.lit("\n"))
-        ) + 1).cast("long").alias("_words"),
+        (blanks + 1).cast("long").alias("_words"),
     )
-    rows = rows.join(named, F.col("source").eqNullSafe(F.col("_s")), "left").withColumn(
-        "mix_source", F.when(F.col("listed"), F.col("source")).otherwise(F.lit(REST))
-    ).withColumn("_class", F.col("mix_source") if given else F.col("source")).drop("_s", "listed")
-    n = docs.count()
     buckets = max(1, -(-n // BUCKET_ROWS))
     rows = rows.withColumn("_bucket", F.pmod(F.shiftright("_h", 20), F.lit(buckets)))
     # Words before each bucket of a source, from one row per source and bucket.
-    sums = rows.groupBy("_class", "_bucket").agg(F.sum("_words").alias("_sum"))
-    before = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("_key", "_bucket").agg(F.sum("_words").alias("_sum"))
+    before = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = common.stored(
-        sums.select("_class", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")),
+        sums.select("_key", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")),
         f"{path}/buckets",
     )
-    inside = Window.partitionBy("_class", "_bucket").orderBy("_h", "doc_id", "_words")
+    inside = Window.partitionBy("_key", "_bucket").orderBy("_h", "doc_id", "_words")
     numbered = rows.withColumn(
         "_at", F.sum("_words").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_words")
     )
-    keys = sums.select(F.col("_class").alias("_m"), F.col("_bucket").alias("_b"), "_before")
-    numbered = numbered.join(
-        keys, F.col("_class").eqNullSafe(F.col("_m")) & (F.col("_bucket") == F.col("_b"))
-    ).withColumn("_at", F.col("_at") + F.col("_before"))
+    numbered = numbered.join(sums, ["_key", "_bucket"]).withColumn("_at", F.col("_at") + F.col("_before"))
     numbered = numbered.withColumn("_block", F.floor(F.col("_at") / block_words).cast("long"))
-    leaves = plan.select(F.col("source").alias("_p"), F.col("path").alias("_path"))
-    placed = numbered.join(leaves, F.col("_class").eqNullSafe(F.col("_p")))
-    return placed.select(
+    blocks = sizes.select("source", F.ceil(F.col("words") / block_words).cast("long").alias("blocks"))
+    slots = common.stored(
+        schedule(blocks, weights).select(
+            F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("_key"), F.col("block").alias("_block"), "slot"
+        ),
+        f"{path}/slots",
+    )
+    return numbered.join(slots, ["_key", "_block"]).select(
         *(F.col("own").getField(c).alias(c) for c in own),
-        "mix_source",
+        F.expr("if(_key = '', null, substring(_key, 2))").alias("mix_source"),
         F.col("_block").alias("mix_block"),
-        F.expr(_SLOT).cast("long").alias("mix_slot"),
+        F.col("slot").alias("mix_slot"),
         (F.col("_at") - F.col("_block") * block_words).cast("long").alias("mix_order"),
     )
 
 
-def _with_rest(weights: DataFrame) -> DataFrame:
-    """``weights`` with ``REST`` among them, each source once."""
-    least = weights.agg(F.min("weight").alias("weight")).select(
-        F.lit(REST).alias("source"), F.coalesce("weight", F.lit(1.0)).alias("weight")
-    )
-    return weights.select("source", "weight").unionByName(least).groupBy("source").agg(
-        F.max("weight").alias("weight")
-    )
+def _of_all(weights: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``weights`` of the sources that there are; those without one get the smallest."""
+    least = weights.agg(F.min("weight")).first()[0]
+    given = weights.select(F.col("source").cast("string").alias("_s"), F.col("weight").cast("double").alias("weight"))
+    found = sizes.join(given, F.col("source").eqNullSafe(F.col("_s")), "left")
+    return found.select("source", F.coalesce("weight", F.lit(least).cast("double"), F.lit(1.0)).alias("weight"))
