@@ -3,10 +3,20 @@ scheme the cluster knows (local, object store) works the same way."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and what counts its rows while it is written: no read after the write."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def rows_of(seen: Observation) -> int:
+    return seen.get["rows"]
+
+
 def _path(spark: SparkSession, uri: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path

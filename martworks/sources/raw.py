@@ -48,17 +48,16 @@ def load_raw(
     dest = f"{raw_root.rstrip('/')}/{table.name}"
     landed = read_landed(spark, root, table.name, ingest_date)
     replace = full or ingest_date is None or table.strategy == "full"
+    rows, seen = files.counted(landed)
     if replace or not files.exists(spark, dest):
-        _write(landed, dest, "static")
-        return Loaded(table.name, dest, spark.read.parquet(dest).count(), None)
+        _write(rows, dest, "static")
+        return Loaded(table.name, dest, files.rows_of(seen), None)
     day_dir = f"{dest}/{PARTITION}={as_date(ingest_date)}"
-    landed.drop(PARTITION).write.mode("overwrite").option("compression", "zstd").parquet(
+    rows.drop(PARTITION).write.mode("overwrite").option("compression", "zstd").parquet(
         day_dir
     )
     spark.catalog.refreshByPath(dest)
-    # Only the day's own files are counted, so a daily load does not touch history.
-    rows = spark.read.parquet(day_dir).count()
-    return Loaded(table.name, dest, rows, str(as_date(ingest_date)))
+    return Loaded(table.name, dest, files.rows_of(seen), str(as_date(ingest_date)))
 
 
 def _write(landed: DataFrame, dest: str, mode: str) -> None:
