@@ -115,37 +115,75 @@ def _label(check: Check) -> list[Column]:
         F.lit(check.column).alias("column"),
     ]
 
-def _row_level(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row-level checks of a table from one aggregate."""
-    counts = df.agg(
-        *[
-            F.count_if(F.coalesce(breaks(c), F.lit(False))).alias(f"c{i}")
-            for i, c in enumerate(checks)
-        ]
+def _key(columns: tuple[str, ...]) -> Column:
+    """The values as one text, different for different values. NULL is a value of a
+    combination."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    parts = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
+def _entry(number: int, key: Column | None = None, n: int = 1, parent: bool = False) -> Column:
+    """What one row says to one check: a failure, a key it has, or a key that others need."""
+    return F.struct(
+        F.lit(number).alias("number"), (F.lit(None).cast("string") if key is None else key).alias("key"),
+        F.lit(n).cast("bigint").alias("n"), F.lit(parent).alias("parent"),
     )
-    rows = [
-        F.struct(*_label(c), F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)
-    ]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One row per check with its number of failures. A relation check counts child
-    rows, a uniqueness check counts key values."""
-    by_model: dict[str, list[Check]] = defaultdict(list)
-    parts: list[DataFrame] = []
-    for check in checks:
+
+def _entries(checks: list[Check]) -> dict[str, list[Column]]:
+    """By table, what each of its rows says to all checks, NULL where it says nothing."""
+    found: dict[str, list[Column]] = defaultdict(list)
+    for i, check in enumerate(checks):
+        own, known = found[check.model], F.lit(True)
         if check.kind in ROW_KINDS:
-            by_model[check.model].append(check)
+            own.append(F.when(breaks(check), _entry(i)))
             continue
-        bad = violations(check, tables)
-        number = (
-            F.coalesce(F.sum("n"), F.lit(0))
-            if check.kind == "relationship"
-            else F.count(F.lit(1))
-        )
-        parts.append(bad.agg(number.alias("failures")).select(*_label(check), "failures"))
-    parts += [_row_level(tables[m], group) for m, group in by_model.items()]
-    return reduce(DataFrame.unionByName, parts)
+        if check.kind != "unique_combination":
+            for c in check.columns:
+                known = known & F.col(c).isNotNull()
+        own.append(F.when(known, _entry(i, _key(check.columns))))
+        if check.kind == "relationship":
+            parent = (check.parent_column,)
+            found[check.parent].append(F.when(F.col(parent[0]).isNotNull(), _entry(i, _key(parent), 0, True)))
+    return found
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """One row per check with its number of failures. A relation check counts child
+    rows, a uniqueness check counts key values.
+
+    Every table is read once. Its rows say to each check what they add: failures of
+    row checks, keys that must be unique, keys of children and of parents. All of it is
+    counted by check and key in one aggregate, which combines before it shuffles: a
+    value that fills a third of a table crosses the network as one row per task."""
+    checks = list(checks)
+    spark = next(iter(tables.values())).sparkSession
+    # Every check has a row, also one that no row says anything to.
+    said = [spark.range(1).select(F.explode(F.array(*[_entry(i, n=0) for i in range(len(checks))])).alias("e"))]
+    for model, entries in _entries(checks).items():
+        said.append(tables[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e")))
+    keys = (
+        reduce(DataFrame.union, said)
+        .select("e.*")
+        .groupBy("number", "key")
+        .agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    )
+    kinds = F.array(*[F.lit(c.kind) for c in checks])
+    labels = F.array(*[F.struct(*_label(c)) for c in checks])
+    kind = F.get(kinds, F.col("number"))
+    failures = (
+        F.when(kind == "relationship", F.when(F.col("parent"), 0).otherwise(F.col("n")))
+        .when(kind.isin("unique", "unique_combination"), (F.col("n") > 1).cast("bigint"))
+        .otherwise(F.col("n"))
+    )
+    counted = keys.groupBy("number").agg(F.sum(failures).alias("failures"))
+    return counted.select(F.get(labels, F.col("number")).alias("r"), "failures").select("r.*", "failures")
+
 
 def with_severity(
     results: DataFrame, warn_above: int | None = None, error_above: int = 0
