@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martworks.functions import columns as fn
@@ -48,40 +48,79 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     )
 
 
+#: A category's place in the order of names stands in so many digits below the revenue.
+_CODES = 10**9
+
+
+def category_codes(products: DataFrame) -> DataFrame:
+    """Categories by name, counted from 0: one small relation, whatever the products are."""
+    names = products.select("category_name").where(F.col("category_name").isNotNull()).distinct()
+    place = F.row_number().over(Window.orderBy("category_name")) - 1
+    return names.select(F.col("category_name").alias("primary_category"), place.cast("bigint").alias("_code"))
+
+
 def item_summary(items: DataFrame, products: DataFrame) -> DataFrame:
     """Lines rolled up to the order; revenue excludes freight. The dominant category
     is the one with the most revenue, the first by name among equals.
 
-    Both branches combine on the map side before they shuffle, so an order that
-    holds a large share of all lines does not land whole in one task. They are put
-    under each other and folded rather than joined: a join would filter NULL keys on
-    one side only, and then the two branches could not share the deduplicated lines."""
-    totals = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.count_distinct("product_id").alias("distinct_product_count"),
-        F.count_distinct("seller_id").alias("distinct_seller_count"),
-        F.sum("item_price").alias("gross_item_revenue"),
-        F.sum("freight_value").alias("freight_revenue"),
-        F.sum("item_total").alias("order_item_total"),
-        F.max("item_price").alias("max_item_price"),
-        F.min("item_price").alias("min_item_price"),
+    Lines are first summed by order, product and seller, so an order that holds a large
+    share of all lines reaches the next step as its distinct pairs. These are dealt by order
+    once; distinct products, distinct sellers and categories are then groups inside a
+    partition. The dominant category is the largest of revenue with the category's code
+    below it: one number, which Spark keeps in a hash aggregate."""
+    money = lambda c: F.sum(c).alias(c)
+    pairs = items.groupBy("order_id", "product_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        money("item_price"),
+        money("freight_value"),
+        money("item_total"),
+        F.max("item_price").alias("most"),
+        F.min("item_price").alias("least"),
+    ).repartition("order_id")
+    sellers = pairs.groupBy("order_id", "seller_id").agg(F.lit(1).alias("one"))
+    sellers = sellers.groupBy("order_id").agg(F.count("seller_id").alias("distinct_seller_count"))
+    codes = category_codes(products)
+    coded = products.select("product_id", "category_name").join(
+        codes.withColumnRenamed("primary_category", "category_name"), "category_name", "left"
     )
-    category = F.col("category_name")
-    dominant = (
-        items.select("order_id", "product_id", "item_price")
-        .join(products.select("product_id", "category_name"), "product_id", "left")
-        .groupBy("order_id", "category_name")
-        .agg(F.sum("item_price").alias("revenue"))
-        .groupBy("order_id")
+    by_category = (
+        pairs.groupBy("order_id", "product_id")
         .agg(
-            first_value_by(
-                category, -F.col("revenue"), category.isNull(), category
-            ).alias("primary_category")
+            money("n"), money("item_price"), money("freight_value"), money("item_total"),
+            F.max("most").alias("most"), F.min("least").alias("least"),
         )
+        .join(coded.select("product_id", "_code"), "product_id", "left")
+        .groupBy("order_id", "_code")
+        .agg(
+            F.count("product_id").alias("products"),
+            money("n"), money("item_price"), money("freight_value"), money("item_total"),
+            F.max("most").alias("most"), F.min("least").alias("least"),
+        )
+    )
+    place = F.lit(_CODES - 1) - F.coalesce("_code", F.lit(_CODES - 1))
+    first = (F.col("item_price") * 100).cast("decimal(28,0)") * F.lit(_CODES).cast("decimal(10,0)") + place
+    totals = by_category.groupBy("order_id").agg(
+        F.sum("n").alias("item_count"),
+        F.sum("products").alias("distinct_product_count"),
+        F.sum("item_price").cast("decimal(28,2)").alias("gross_item_revenue"),
+        F.sum("freight_value").cast("decimal(28,2)").alias("freight_revenue"),
+        F.sum("item_total").cast("decimal(28,2)").alias("order_item_total"),
+        F.max("most").alias("max_item_price"),
+        F.min("least").alias("min_item_price"),
+        F.max(first).alias("_first"),
     )
-    stacked = totals.unionByName(dominant, allowMissingColumns=True)
-    return stacked.groupBy("order_id").agg(
-        *[F.max(c).alias(c) for c in stacked.columns if c != "order_id"]
+    code = F.lit(_CODES - 1) - F.pmod("_first", F.lit(_CODES).cast("decimal(10,0)")).cast("bigint")
+    # Folded, not joined: orders without an id stay, and both sides lie by order already.
+    stacked = totals.unionByName(sellers, allowMissingColumns=True)
+    return (
+        stacked.groupBy("order_id")
+        .agg(*[F.max(c).alias(c) for c in stacked.columns if c != "order_id"])
+        .withColumn("_code", code)
+        .join(codes, "_code", "left")
+        .select(
+            "order_id", "item_count", "distinct_product_count", "distinct_seller_count", "gross_item_revenue",
+            "freight_revenue", "order_item_total", "max_item_price", "min_item_price", "primary_category",
+        )
     )
 
 
