@@ -669,6 +669,32 @@ cte(
 _MONEY["fct_orders_twice"] = _MONEY["fct_orders"]
 answer("incremental_equals_full", "fct_orders_twice", _shared_types("fct_orders_twice"))
 answer("incremental_late_lines", "fct_orders", _shared_types("fct_orders"))
+answer(
+    "incremental_dimensions",
+    "dim_customers dim_sellers dim_products",
+    """select distinct 'customer' as dimension, customer_unique_id as key,
+  cast(lifetime_order_count as bigint) as orders, cast(null as bigint) as units,
+  cast(lifetime_gross_value as double) as value, first_order_date as first_day,
+  most_recent_order_date as last_day
+from dim_customers
+union all
+select 'seller', seller_key, order_count, items_sold, cast(gross_revenue as double), first_sale_date,
+  most_recent_sale_date
+from dim_sellers
+union all
+select 'product', product_key, orders_containing_product, units_sold, cast(gross_revenue as double), null, null
+from dim_products""",
+)
+answer(
+    "index_partitions",
+    "src_order_items src_orders",
+    """select ingest_date, count(*) as row_count, count(distinct order_id) as orders,
+  count(*) over () as partitions
+from src_order_items
+where order_id in (select order_id from src_orders where order_purchase_timestamp >= timestamp '1997-12-01'
+  and order_purchase_timestamp < timestamp '1997-12-08')
+group by ingest_date""",
+)
 answer(
     "incremental_partitions",
     "stg_orders",

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from martworks.catalog.lake import AS_OF, EARLIEST, Lake
 from martworks.operators import scd2, upsert
+from martworks.operators.key_index import KeyIndex
 from martworks.operators.keyed import top_n_per_group
 from martworks.plans import marts, reports, rollups
 from martworks.plans.descriptions import TABLES
@@ -386,6 +387,67 @@ def incremental_late_lines(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def incremental_dimensions(lake: Lake) -> DataFrame:
+    """Measures of customers, sellers and products after a full run on the orders up to a
+    date and without some lines, and an incremental run on everything: the late lines and
+    the orders whose lines came before them change the kept measures to those of all
+    orders and lines."""
+    orders, lines = lake.raw("orders"), lake.raw("order_items")
+    late = F.col("order_id").cast("bigint") % 50 == 0
+    landed = F.when(late, F.lit("2002-02-01").cast("date")).otherwise(F.col("ingest_date"))
+    early = {
+        "orders": orders.where(F.col("order_purchase_timestamp") < INCREMENTAL_FROM),
+        "order_items": lines.where(~late),
+    }
+    warehouse = Warehouse(lake.spark, f"{lake.work()}/warehouse")
+    for changed in (early, {"order_items": lines.withColumn("ingest_date", landed)}):
+        build = Build(
+            warehouse,
+            lambda name, c=changed: c[name] if name in c else lake.raw(name),
+            datetime(2001, 9, 1),
+            earliest=EARLIEST,
+            partition_by_month=True,
+        )
+        build.facts()
+        build.dimensions()
+    money = lambda c: F.col(c).cast("double").alias("value")
+    none = lambda c: F.lit(None).cast(c)
+    people = warehouse.read("dim_customers").select(
+        F.lit("customer").alias("dimension"), F.col("customer_unique_id").alias("key"),
+        F.col("lifetime_order_count").alias("orders"), none("bigint").alias("units"), money("lifetime_gross_value"),
+        F.col("first_order_date").alias("first_day"), F.col("most_recent_order_date").alias("last_day"),
+    ).distinct()
+    sellers = warehouse.read("dim_sellers").select(
+        F.lit("seller"), "seller_key", "order_count", "items_sold", money("gross_revenue"), "first_sale_date",
+        "most_recent_sale_date",
+    )
+    products = warehouse.read("dim_products").select(
+        F.lit("product"), "product_key", "orders_containing_product", "units_sold", money("gross_revenue"),
+        none("date"), none("date"),
+    )
+    return people.union(sellers).union(products)
+
+
+@query
+def index_partitions(lake: Lake) -> DataFrame:
+    """Which partitions of the landed lines hold lines of the orders of a week, as the
+    stored index names them, and the week's lines that lie in them."""
+    lines, orders = lake.raw("order_items"), lake.raw("orders")
+    early = F.col("ingest_date") < "1998-01-01"
+    index = KeyIndex(lake.spark, f"{lake.work()}/index", "order_id", "ingest_date")
+    index.rebuild(lines.where(early))
+    index.add(lines.where(~early))
+    purchased = F.col("order_purchase_timestamp")
+    week = orders.where((purchased >= "1997-12-01") & (purchased < "1997-12-08")).select("order_id").distinct()
+    days = sorted(index.partitions(week))
+    named = lines.where(F.col("ingest_date").isin(days)).join(week, "order_id", "left_semi")
+    return named.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("order_id").alias("orders"),
+        F.lit(len(days)).cast("bigint").alias("partitions"),
+    )
+
+
 @query
 def incremental_partitions(lake: Lake) -> DataFrame:
     """The same on stored partitions: full refresh, then an upsert of a window whose

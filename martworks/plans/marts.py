@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martworks.functions import columns as fn
 from martworks.operators.keyed import top_n_per_group
+from martworks.operators.measures import Measures
 from martworks.operators.scd2 import history
 
 
@@ -171,22 +172,72 @@ def _located(people: DataFrame, geography: DataFrame, city: str) -> DataFrame:
     )
 
 
+#: What orders add to a person, lines to a seller and to a product. All are kept by key and
+#: merged with the changes of a run.
+CUSTOMER_MEASURES = Measures(("customer_unique_id",), ("orders", "value"), "orders", "purchased_date")
+SELLER_MEASURES = Measures(
+    ("seller_id",),
+    ("orders", "items", "price", "freight", "delivered", "late", "days", "days_known"),
+    "orders",
+    "purchased_date",
+)
+PRODUCT_MEASURES = Measures(("product_id",), ("orders", "units", "price"), "units")
+PRODUCT_SELLERS = Measures(("product_id", "seller_id"), ("units",), "units")
+
+
+def customer_contributions(order_facts: DataFrame) -> DataFrame:
+    """``order_facts`` needs one row per order with ``customer_unique_id``, ``order_total`` and
+    ``purchased_date``; the order fact is exactly that."""
+    return order_facts.select(
+        "customer_unique_id", F.lit(1).cast("bigint").alias("orders"), F.col("order_total").alias("value"), "purchased_date"
+    )
+
+
+def seller_contributions(lines: DataFrame) -> DataFrame:
+    """One row per seller and order: distinct orders are then plain counts, and a seller
+    with very many lines is spread over its orders. ``lines`` are order lines that have an
+    order (the line fact under its source key names)."""
+    flag = lambda c: F.coalesce(F.bool_or(c), F.lit(False)).cast("bigint").alias(c.removeprefix("is_"))
+    return lines.groupBy("seller_id", "order_id").agg(
+        F.lit(1).cast("bigint").alias("orders"),
+        F.count(F.lit(1)).alias("items"),
+        F.sum("item_price").alias("price"),
+        F.sum("freight_value").alias("freight"),
+        F.min("purchased_date").alias("purchased_date"),
+        flag("is_delivered"),
+        flag("is_late"),
+        F.coalesce(F.sum("days_to_delivery"), F.lit(0)).alias("days"),
+        F.count("days_to_delivery").alias("days_known"),
+    )
+
+
+def product_contributions(lines: DataFrame) -> DataFrame:
+    """One row per product and order; a product with very many lines is spread over them."""
+    known = F.col("order_id").isNotNull().cast("bigint")
+    return lines.groupBy("product_id", "order_id").agg(F.count(F.lit(1)).alias("units"), F.sum("item_price").alias("price")).select(
+        "product_id", known.alias("orders"), "units", "price"
+    )
+
+
+def product_seller_contributions(lines: DataFrame) -> DataFrame:
+    return lines.select("product_id", "seller_id", F.lit(1).cast("bigint").alias("units"))
+
+
 def dim_customers(
     customers: DataFrame, order_facts: DataFrame, geography: DataFrame
 ) -> DataFrame:
-    """One row per ``customer_id`` with the lifetime measures of the person.
+    """One row per ``customer_id`` with the lifetime measures of the person."""
+    lifetime = CUSTOMER_MEASURES.of(customer_contributions(order_facts))
+    return customers_with(customers, lifetime, geography)
 
-    ``order_facts`` needs one row per order with ``customer_unique_id``,
-    ``order_total`` and ``purchased_date``; the order fact is exactly that."""
-    lifetime = (
-        order_facts.where(F.col("customer_unique_id").isNotNull())
-        .groupBy("customer_unique_id")
-        .agg(
-            F.count(F.lit(1)).alias("lifetime_order_count"),
-            F.sum("order_total").alias("lifetime_gross_value"),
-            F.min("purchased_date").alias("first_order_date"),
-            F.max("purchased_date").alias("most_recent_order_date"),
-        )
+
+def customers_with(customers: DataFrame, measures: DataFrame, geography: DataFrame) -> DataFrame:
+    lifetime = measures.select(
+        "customer_unique_id",
+        F.col("orders").alias("lifetime_order_count"),
+        F.col("value").alias("lifetime_gross_value"),
+        F.col("first").alias("first_order_date"),
+        F.col("last").alias("most_recent_order_date"),
     )
     return (
         _located(customers, geography, "customer_city")
@@ -211,12 +262,23 @@ def dim_customers(
 
 
 def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
-    sales = items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("units_sold"),
-        F.count_distinct("order_id").alias("orders_containing_product"),
-        F.count_distinct("seller_id").alias("seller_count"),
-        F.sum("item_price").alias("gross_revenue"),
+    """Products with sales. The pairs of product and seller come from one aggregate, the
+    orders from another; neither holds a product's rows together."""
+    return products_with(
+        products,
+        PRODUCT_MEASURES.of(product_contributions(items)),
+        PRODUCT_SELLERS.of(product_seller_contributions(items)),
     )
+
+
+def products_with(products: DataFrame, measures: DataFrame, sellers: DataFrame) -> DataFrame:
+    known = sellers.groupBy("product_id").agg(F.count(F.lit(1)).alias("seller_count"))
+    sales = measures.select(
+        "product_id",
+        F.col("units").alias("units_sold"),
+        F.col("orders").alias("orders_containing_product"),
+        F.col("price").alias("gross_revenue"),
+    ).join(known, "product_id", "left")
     average = F.col("gross_revenue").cast("double") / F.col("units_sold")
     return products.join(sales, "product_id", "left").select(
         F.col("product_id").alias("product_key"),
@@ -242,32 +304,22 @@ def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def dim_sellers(sellers: DataFrame, lines: DataFrame, geography: DataFrame) -> DataFrame:
-    """Sellers with sales and fulfilment. ``lines`` are order lines that have an
-    order (the line fact under its source key names); sales and delivery measures
-    come from one aggregate over them."""
-    # One row per seller and order first: distinct orders are then plain counts, and a
-    # seller with very many lines is spread over its orders.
-    by_order = lines.groupBy("seller_id", "order_id").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.sum("item_price").alias("price"),
-        F.sum("freight_value").alias("freight"),
-        F.min("purchased_date").alias("first"),
-        F.max("purchased_date").alias("last"),
-        F.bool_or("is_delivered").alias("was_delivered"),
-        F.bool_or("is_late").alias("was_late"),
-        F.sum("days_to_delivery").alias("days"),
-        F.count("days_to_delivery").alias("days_known"),
-    )
-    activity = by_order.groupBy("seller_id").agg(
-        F.count("order_id").alias("order_count"),
-        F.sum("items").alias("items_sold"),
-        F.sum("price").alias("gross_revenue"),
-        F.sum("freight").alias("freight_charged"),
-        F.min("first").alias("first_sale_date"),
-        F.max("last").alias("most_recent_sale_date"),
-        F.count_if("was_delivered").alias("delivered"),
-        F.count_if("was_late").alias("late"),
-        F.try_divide(F.sum("days").cast("double"), F.sum("days_known")).alias("avg_days"),
+    """Sellers with sales and fulfilment; both come from one aggregate over ``lines``."""
+    return sellers_with(sellers, SELLER_MEASURES.of(seller_contributions(lines)), geography)
+
+
+def sellers_with(sellers: DataFrame, measures: DataFrame, geography: DataFrame) -> DataFrame:
+    activity = measures.select(
+        "seller_id",
+        F.col("orders").alias("order_count"),
+        F.col("items").alias("items_sold"),
+        F.col("price").alias("gross_revenue"),
+        F.col("freight").alias("freight_charged"),
+        F.col("first").alias("first_sale_date"),
+        F.col("last").alias("most_recent_sale_date"),
+        "delivered",
+        "late",
+        F.try_divide(F.col("days").cast("double"), F.col("days_known")).alias("avg_days"),
     )
     return (
         _located(sellers, geography, "seller_city")

@@ -1,7 +1,7 @@
 """The daily build: raw tables to marts, in full or incrementally.
 
-Order: staging, snapshot, facts, dimensions, aggregate. The snapshot comes before the
-marts that read it, so the history dimension is never one run behind."""
+Order: staging, facts, dimensions and aggregate; the snapshot comes before the marts that
+read it, so the history dimension is never one run behind."""
 
 from __future__ import annotations
 
@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martworks.operators import scd2, upsert
+from martworks.operators.key_index import KeyIndex
+from martworks.operators.measures import Measures
 from martworks.plans import marts, rollups, staging
-from martworks.plans.reports import RUN_METRICS_SCHEMA
+from martworks.plans.reports import RUN_METRICS_SCHEMA, append_run_metrics
 from martworks.plans.warehouse import CLUSTER_COLUMNS, Warehouse, by_month
 from martworks.quality import checks, declared, invariants
-from martworks.session import cut_lineage, staged
+from martworks.session import concurrently, cut_lineage, staged
 from martworks.sources import files
 
 SELLER_CHECK_COLUMNS = ("seller_city", "seller_state", "zip_code_prefix")
@@ -35,21 +37,63 @@ MARTS = (
     "dim_sellers_history",
 )
 FACT_KEYS = {"fct_orders": ["order_key"], "fct_order_items": ["order_item_key"]}
+#: Raw tables that are landed by slices; a snapshot lands whole each time.
+SLICED = ("orders", "order_items")
+SEEN_SCHEMA = "name string, ingest_date date, rows long, ingested_at timestamp_ntz"
+
+
+@dataclass(frozen=True)
+class Stored:
+    """Measures kept between runs, and how an order's lines or the order add to them."""
+
+    name: str
+    measures: Measures
+    contributions: Callable[[DataFrame], DataFrame]
+
+
+CUSTOMER_STATE = Stored("customer_measures", marts.CUSTOMER_MEASURES, marts.customer_contributions)
+SELLER_STATE = Stored("seller_measures", marts.SELLER_MEASURES, marts.seller_contributions)
+PRODUCT_STATE = Stored("product_measures", marts.PRODUCT_MEASURES, marts.product_contributions)
+PRODUCT_SELLER_STATE = Stored("product_sellers", marts.PRODUCT_SELLERS, marts.product_seller_contributions)
+#: Columns of the line fact that sellers and products are measured by.
+LINE_COLUMNS = (
+    "order_id", "product_id", "seller_id", "item_price", "freight_value", "purchased_date", "is_delivered", "is_late",
+    "days_to_delivery",
+)
+
+
+def fact_lines(lines: DataFrame) -> DataFrame:
+    """Rows of the line fact under the names of the source."""
+    return lines.select(
+        F.col("order_key").alias("order_id"), F.col("product_key").alias("product_id"),
+        F.col("seller_key").alias("seller_id"), *LINE_COLUMNS[3:],
+    )
+
+
+class ChecksFailed(Exception):
+    """Names the checks that a build's marts fail."""
 
 
 @dataclass
 class Build:
     """One run. ``raw`` gives the raw table of a name; ``as_of`` is the run's time.
 
-    An incremental run recomputes the orders of the lookback window. With
-    ``landed_since`` it also recomputes every older order for which an order or line
-    was landed on that day or later, so that rows later than the lookback arrive."""
+    An incremental run recomputes the orders of the lookback window, and every older order
+    for which an order or line was landed since the last run: in a partition that is new or
+    has other rows or a later load than before. ``landed_since`` takes up what was landed on that day or later as well;
+    with neither ``take_late`` nor it only the window is recomputed.
+
+    An index tells in which partitions of the sliced raw tables, and of the facts, an
+    order lies, so neither is read whole. The measures of the dimensions are kept and
+    follow the orders that are recomputed. A run that stops before it has stored them leaves
+    a mark, and the next one sums them again from the facts."""
 
     warehouse: Warehouse
     raw: Callable[[str], DataFrame]
     as_of: datetime
     full_refresh: bool = False
     landed_since: date | None = None
+    take_late: bool = True
     earliest: str = staging.EARLIEST_ORDER_DATE
     lookback_days: int = upsert.LOOKBACK_DAYS
     grace_days: int = rollups.DELIVERY_GRACE_DAYS
@@ -57,8 +101,9 @@ class Build:
     backdate_first: str | None = None
     calendar: tuple[str, str] = (marts.CALENDAR_START, marts.CALENDAR_END)
     timings: list[tuple[str, float, datetime]] = field(default_factory=list)
-    _all_items: DataFrame | None = None
+    rows: dict[str, int] = field(default_factory=dict)
     _touched: set[date] | None = None
+    _partitions: dict[str, dict] = field(default_factory=dict)
 
     @property
     def spark(self):
@@ -88,37 +133,96 @@ class Build:
         ]
         return None if None in starts else min(starts)
 
+    # what was landed, and where
+
+    def _seen(self) -> dict[str, dict]:
+        """Rows and newest load time of each partition of the sliced tables at the last run."""
+        if not self.warehouse.exists("seen", "state"):
+            return {}
+        found: dict[str, dict] = {}
+        for r in self.spark.read.schema(SEEN_SCHEMA).parquet(self.warehouse.path("seen", "state")).collect():
+            found.setdefault(r["name"], {})[r["ingest_date"]] = (r["rows"], r["ingested_at"])
+        return found
+
+    def _landed(self, table: str) -> dict:
+        """The same as it is now: one narrow column is read; the calendar bounds the result."""
+        if table not in self._partitions:
+            days = self.raw(table).groupBy("ingest_date").agg(F.count(F.lit(1)), F.max("_ingested_at"))
+            self._partitions[table] = {day: (n, loaded) for day, n, loaded in days.collect()}
+        return self._partitions[table]
+
+    def _fresh(self, table: str) -> DataFrame | None:
+        """Rows of a sliced table in partitions that were landed, or landed again, since the
+        last run, None if there was none."""
+        seen, day = self._seen(), F.col("ingest_date")
+        if table not in seen and self.landed_since is None:
+            return None
+        changed = {d for d, what in self._landed(table).items() if seen.get(table, {}).get(d) != what}
+        if self.landed_since is not None:
+            known = changed if table in seen else set()
+            changed = known | {d for d in self._landed(table) if d is not None and d >= self.landed_since}
+        condition = day.isin(sorted(d for d in changed if d is not None))
+        return self.raw(table).where(condition | day.isNull() if None in changed else condition)
+
+    def _index(self, table: str) -> KeyIndex:
+        return KeyIndex(self.spark, self.warehouse.path(table, "index"), "order_id", "ingest_date")
+
+    def _fact_index(self, fact: str) -> KeyIndex:
+        return KeyIndex(self.spark, self.warehouse.path(fact, "index"), FACT_KEYS[fact][0], self._fact_column())
+
+    def _take_in(self, full: bool) -> None:
+        """Bring the index of the sliced tables up to date."""
+        for table in SLICED:
+            index, fresh = self._index(table), None if full else self._fresh(table)
+            if fresh is None or not index.exists():
+                index.rebuild(self.raw(table))
+            else:
+                index.add(fresh)
+
+    def _remember(self) -> None:
+        """Keep what this run has seen of the sliced tables."""
+        seen = [(t, d, *what) for t in SLICED for d, what in self._landed(t).items()]
+        frame = self.spark.createDataFrame(seen, SEEN_SCHEMA).coalesce(1)
+        frame.write.mode("overwrite").parquet(self.warehouse.path("seen", "state"))
+
     def _matching(self, table: str, keys: DataFrame | None, key: str) -> DataFrame:
         """Raw rows whose key occurs in ``keys``. The restriction is by (part of) the
         table's key, so it commutes with removing duplicates and can come before that
-        shuffle; for a few days of orders Spark broadcasts the key side."""
+        shuffle; for a few days of orders Spark broadcasts the key side. Of a sliced table
+        only the partitions that hold such keys are read."""
         rows = self.raw(table)
-        return rows if keys is None else rows.join(keys.select(key), key, "left_semi")
+        if keys is None:
+            return rows
+        if table in SLICED:
+            days = self._index(table).partitions(keys, key)
+            rows = rows.where(F.col("ingest_date").isin(sorted(days)) | F.col("ingest_date").isNull())
+        return rows.join(keys.select(key), key, "left_semi")
 
     def _late(self) -> DataFrame | None:
-        """Keys of the orders that newly landed partitions touch. Only tables landed by
-        slices count: a snapshot lands whole each time. The filter prunes partitions."""
-        if self.landed_since is None:
+        """Keys of the orders that newly landed rows touch. Rows that staging leaves out
+        touch nothing."""
+        if self.landed_since is None and not self.take_late:
             return None
-        return reduce(
-            DataFrame.union,
-            [
-                self.raw(t).where(F.col("ingest_date") >= F.lit(self.landed_since)).select("order_id")
-                for t in ("orders", "order_items")
-            ],
-        ).distinct()
-
-    def _orders(self, start: date | None) -> DataFrame:
+        orders, lines = self._fresh("orders"), self._fresh("order_items")
+        if orders is None or lines is None:
+            return None
+        floor = F.lit(f"{self.earliest} 00:00:00").cast("timestamp_ntz")
+        valid = orders.where(F.col("order_purchase_timestamp") >= floor).select("order_id").union(
+            lines.where((F.col("price") >= 0) & (F.col("freight_value") >= 0)).select("order_id")
+        )
+        return self._keep("late_orders", valid.distinct())
+
+    def _orders(self, start: date | None, late: DataFrame | None) -> DataFrame:
         """Staged orders to recompute. Every order of the window has some raw copy in it,
         so only copies of such candidates, and of late orders, are deduplicated; the
         filter on the raw timestamp reaches the Parquet scan."""
         if start is None:
             return staging.orders(self.raw("orders"), self.earliest)
         since = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
-        late = self._late()
-        candidates = self.raw("orders").where(F.col("order_purchase_timestamp") >= since)
+        candidates = self.raw("orders").where(F.col("order_purchase_timestamp") >= since).select("order_id")
         if late is not None:
-            candidates = candidates.select("order_id").union(late)
+            candidates = candidates.union(late)
+        candidates = self._keep("candidate_orders", candidates.distinct())
         staged = staging.orders(self._matching("orders", candidates, "order_id"), self.earliest)
         recent = upsert.since(staged, "purchased_date", start)
         if late is None:
@@ -133,24 +237,33 @@ class Build:
         return self.spark.read.parquet(path)
 
     def facts(self) -> dict[str, upsert.UpsertResult]:
+        self._partitions.clear()
         start = self._start()
-        orders = self._orders(start)
-        window = None
+        if start is not None:
+            self._take_in(False)
+        late = None if start is None else self._late()
+        orders = self._orders(start, late)
+        window, touched = None, None
         if start is not None:
             # Stored once: its known size lets Spark decide on broadcasting the keys, and
             # none of the five tables below computes the window again.
             orders = self._keep("window_orders", orders)
-            window = orders.select("order_id", "customer_id")
+            window = touched = orders.select("order_id", "customer_id")
+            if late is not None:
+                # Late lines without an order are taken up too: products count them.
+                touched = self._keep("touched_orders", window.select("order_id").union(late).distinct())
         timeline = rollups.delivery_timeline(orders, self.grace_days)
         customers = staging.customers(self._matching("customers", window, "customer_id"))
+        lines = staging.order_items(self._matching("order_items", touched, "order_id"))
         # Both facts read these two; storing them saves shuffling all lines and all
-        # orders once more for the second fact and for the product dimension.
-        context = self._keep("order_context", rollups.order_context(timeline, customers))
-        items = self._keep(
-            "stg_order_items",
-            staging.order_items(self._matching("order_items", window, "order_id")),
-        )
-        self._all_items = items if start is None else None
+        # orders once more for the second fact and for the product measures.
+        steps = [
+            lambda: self._keep("order_context", rollups.order_context(timeline, customers)),
+            lambda: self._keep("stg_order_items", lines),
+        ]
+        if start is None:
+            steps.append(lambda: self._take_in(True))
+        context, items, *_ = concurrently(self.spark, *steps)
         products = staging.products(
             self.raw("products"),
             staging.category_translation(self.raw("product_category_translation")),
@@ -171,38 +284,137 @@ class Build:
                 rollups.line_context(items, context, products, sellers)
             ),
         }
-        results = {
-            name: self._timed(name, lambda n=name, b=batch: self._store_fact(n, b, start))
-            for name, batch in batches.items()
-        }
+        whole = start is None or not self._measured()
+        self._mark(True)
+        if not whole:
+            self._before(touched)
+        stored = concurrently(
+            self.spark,
+            *(
+                lambda n=name, b=batch: self._timed(n, lambda: self._store_fact(n, b, start))
+                for name, batch in batches.items()
+            ),
+        )
+        results = dict(zip(batches, stored))
+        self.rows.update({name: r.rows_written for name, r in results.items()})
         self._touched = None
         if all(r.mode == "incremental" for r in results.values()):
             self._touched = {d.replace(day=1) for r in results.values() for d in r.touched}
+        self._timed("measures", lambda: self._measure(items, context, touched, whole))
+        self._mark(False)
+        self._remember()
         return results
 
     def _store_fact(self, name: str, batch: DataFrame, start: date | None):
         path, cluster = self.warehouse.path(name), CLUSTER_COLUMNS[name]
         rows = by_month(batch) if self.partition_by_month else batch
         column = self._fact_column()
+        index = self._fact_index(name)
         if start is None:
-            return upsert.full_refresh(rows, path, column, cluster)
+            return upsert.full_refresh(rows, path, column, cluster, index)
         return upsert.upsert_partitions(
-            self.spark, rows, path, FACT_KEYS[name], column, cluster
+            self.spark, rows, path, FACT_KEYS[name], column, cluster, index=index
         )
 
-    # dimensions from staging, the aggregate from the stored facts
+    # measures of the dimensions, kept between runs
+
+    def _state(self, name: str) -> str:
+        return self.warehouse.path(name, "state")
+
+    def _measured(self) -> bool:
+        """Whether the stored measures are those of the stored facts."""
+        return self.warehouse.exists("customer_measures", "state") and not self.warehouse.exists("open", "state")
+
+    def _mark(self, is_open: bool) -> None:
+        if is_open:
+            self.spark.range(1).write.mode("overwrite").parquet(self._state("open"))
+        else:
+            files.delete(self.spark, self._state("open"))
+
+    def _of_orders(self, fact: str, keys: DataFrame, column: str) -> DataFrame:
+        """Stored rows of some orders, from the partitions that hold them."""
+        stored = self.spark.read.option("mergeSchema", True).parquet(self.warehouse.path(fact))
+        index = self._fact_index("fct_orders")
+        if index.exists():
+            stored = stored.where(F.col(self._fact_column()).isin(sorted(index.partitions(keys, "order_id"))))
+        return stored.join(keys.select(F.col("order_id").alias(column)), column, "left_semi")
+
+    def _before(self, touched: DataFrame) -> None:
+        """Keep what the orders to be recomputed have added so far. An order's lines lie in
+        the partitions that hold the order."""
+        people = marts.customer_contributions(self._of_orders("fct_orders", touched, "order_key"))
+        lines = fact_lines(self._of_orders("fct_order_items", touched, "order_key"))
+        people.write.mode("overwrite").parquet(self.warehouse.path("old_orders", "intermediate"))
+        lines.write.mode("overwrite").parquet(self.warehouse.path("old_lines", "intermediate"))
+
+    def _measure(self, items: DataFrame, context: DataFrame, touched: DataFrame | None, whole: bool) -> None:
+        """Measures from all facts, or from what the recomputed orders change. Lines
+        without an order are in no fact but count for products: they are kept apart."""
+        read = self.warehouse.read
+        price = ("order_id", "product_id", "seller_id", "item_price")
+        orphans = items.join(context.select("order_id"), "order_id", "left_anti").select(*price)
+        if whole:
+            lines = staging.order_items(self.raw("order_items")) if touched is not None else items
+            known = read("fct_orders").select(F.col("order_key").alias("order_id"))
+            orphans = lines.join(known, "order_id", "left_anti").select(*price)
+            orphans.write.mode("overwrite").parquet(self._state("orphan_lines"))
+            orphans = self.spark.read.parquet(self._state("orphan_lines"))
+            sold = fact_lines(read("fct_order_items"))
+            every = sold.select(*price).union(orphans)
+            pairs = (
+                (CUSTOMER_STATE, read("fct_orders")), (SELLER_STATE, sold),
+                (PRODUCT_STATE, every), (PRODUCT_SELLER_STATE, every),
+            )
+            concurrently(
+                self.spark,
+                *(
+                    lambda s=stored, r=rows: s.measures.of(s.contributions(r))
+                    .write.mode("overwrite").parquet(self._state(s.name))
+                    for stored, rows in pairs
+                ),
+            )
+            return
+        had = self.spark.read.parquet(self._state("orphan_lines"))
+        keys = touched.select("order_id")
+        with staged(had.join(keys, "order_id", "left_anti").union(orphans)) as left:
+            old_lines = self.spark.read.parquet(self.warehouse.path("old_lines", "intermediate"))
+            new_lines = fact_lines(self._of_orders("fct_order_items", touched, "order_key"))
+            old_people = self.spark.read.parquet(self.warehouse.path("old_orders", "intermediate"))
+            new_people = marts.customer_contributions(self._of_orders("fct_orders", touched, "order_key"))
+            with staged(new_lines) as new_lines, staged(had.join(keys, "order_id", "left_semi")) as gone:
+                before = old_lines.select(*price).union(gone)
+                after = new_lines.select(*price).union(orphans)
+                everything = fact_lines(read("fct_order_items"))
+                people = marts.customer_contributions(read("fct_orders"))
+                concurrently(
+                    self.spark,
+                    lambda: self._merge(CUSTOMER_STATE, old_people, new_people, people),
+                    lambda: self._merge(
+                        SELLER_STATE, marts.seller_contributions(old_lines), marts.seller_contributions(new_lines),
+                        marts.seller_contributions(everything),
+                    ),
+                    *(
+                        lambda s=stored: self._merge(s, s.contributions(before), s.contributions(after), everything)
+                        for stored in (PRODUCT_STATE, PRODUCT_SELLER_STATE)
+                    ),
+                )
+                left.write.mode("overwrite").parquet(self._state("orphan_lines"))
+
+    def _merge(self, stored: Stored, old: DataFrame, new: DataFrame, everything: DataFrame) -> None:
+        path = self._state(stored.name)
+        kept = self.spark.read.parquet(path)
+        delta = stored.measures.delta(old, new)
+        with staged(stored.measures.merged(kept, delta, everything)) as merged:
+            merged.write.mode("overwrite").parquet(path)
+        self.spark.catalog.refreshByPath(path)
+
+    # dimensions from kept measures, the aggregate from the stored facts
 
     def dimensions(self) -> None:
-        """From staging, not from the stored facts: what lands later than the lookback
-        is in the dimensions at once."""
+        """Attributes from staging, measures as the run's facts have left them: neither
+        orders nor lines are read again."""
         wh = self.warehouse
-        timeline = rollups.delivery_timeline(
-            staging.orders(self.raw("orders"), self.earliest), self.grace_days
-        )
-        customers = staging.customers(self.raw("customers"))
-        items = self._all_items
-        if items is None:
-            items = self._keep("all_items", staging.order_items(self.raw("order_items")))
+        state = lambda stored: self.spark.read.parquet(self._state(stored.name))
         geography = self._timed(
             "dim_geography",
             lambda: wh.write(
@@ -210,32 +422,24 @@ class Build:
                 "dim_geography",
             ),
         )
-        timeline = self._keep(
-            "all_orders",
-            timeline.select(
-                "order_id", "customer_id", "purchased_date", "is_delivered", "is_late", "days_to_delivery"
-            ),
-        )
-        sold = items.select("order_id", "seller_id", "item_price", "freight_value").join(
-            timeline.drop("customer_id"), "order_id", "inner"
-        )
-        values = rollups.order_values(timeline, items, customers)
         products = staging.products(
             self.raw("products"),
             staging.category_translation(self.raw("product_category_translation")),
         )
         tables = {
-            "dim_customers": marts.dim_customers(
-                customers, values, geography
+            "dim_customers": marts.customers_with(
+                staging.customers(self.raw("customers")), state(CUSTOMER_STATE), geography
             ),
-            "dim_products": marts.dim_products(products, items),
-            "dim_sellers": marts.dim_sellers(
-                staging.sellers(self.raw("sellers")), sold, geography
+            "dim_products": marts.products_with(products, state(PRODUCT_STATE), state(PRODUCT_SELLER_STATE)),
+            "dim_sellers": marts.sellers_with(
+                staging.sellers(self.raw("sellers")), state(SELLER_STATE), geography
             ),
             "dim_date": marts.dim_date(marts.calendar_bounds(self.spark, *self.calendar)),
         }
-        for name, df in tables.items():
-            self._timed(name, lambda n=name, d=df: wh.write(d, n))
+        concurrently(
+            self.spark,
+            *(lambda n=name, d=df: self._timed(n, lambda: wh.write(d, n)) for name, df in tables.items()),
+        )
 
     def aggregate(self) -> None:
         """In full, or only the months that this run's upserts have touched."""
@@ -283,12 +487,21 @@ class Build:
             ),
         )
 
-    def run(self) -> dict[str, upsert.UpsertResult]:
-        self.snapshot()
-        results = self.facts()
-        self.dimensions()
-        self.aggregate()
-        self.history()
+    def run(self, publish: bool = False, run_id: str | None = None) -> dict[str, upsert.UpsertResult]:
+        """The history follows the snapshot, dimensions and aggregate the facts; what does not
+        depend on each other runs side by side. The run's metrics are stored beside the
+        others; with ``publish`` the marts are tables of the session catalog afterwards."""
+
+        def versions():
+            self.snapshot()
+            self.history()
+
+        results, _ = concurrently(self.spark, self.facts, versions)
+        concurrently(self.spark, self.dimensions, self.aggregate)
+        run_id = run_id or f"{self.as_of:%Y-%m-%dT%H:%M:%S}"
+        append_run_metrics(self.run_metrics("build", run_id), self._state("runs"))
+        if publish:
+            self.warehouse.publish(MARTS)
         return results
 
     # tests of what was built
@@ -296,9 +509,10 @@ class Build:
     def marts(self) -> dict[str, DataFrame]:
         return {name: self.warehouse.read(name) for name in MARTS}
 
-    def check(self) -> DataFrame:
+    def check(self, raise_on_error: bool = False) -> DataFrame:
         """Declared checks and invariants on the stored marts: one row per check with
-        its failures and status. Failing rows are stored for inspection."""
+        its failures and status. Failing rows are stored for inspection. With
+        ``raise_on_error`` a check that is neither passed nor a warning stops the run."""
         tables = self.marts()
         folder = self.warehouse.path("", "test_failures")
         declared_results = cut_lineage(
@@ -323,7 +537,12 @@ class Build:
                 "failures",
             )
             results.append(checks.with_severity(counted, *limits))
-        return reduce(DataFrame.unionByName, results)
+        found = reduce(DataFrame.unionByName, results)
+        if raise_on_error:
+            broken = [f"{r['model']}.{r['column'] or r['check']}" for r in found.where("status = 'error'").collect()]
+            if broken:
+                raise ChecksFailed(", ".join(sorted(broken)))
+        return found
 
     def _invariants(self, t: dict[str, DataFrame]):
         orders, lines = t["fct_orders"], t["fct_order_items"]
@@ -365,7 +584,7 @@ class Build:
     def run_metrics(self, dag_id: str, run_id: str) -> DataFrame:
         """One row per step of this run, in the run-metrics schema."""
         rows = [
-            (self.as_of.date(), dag_id, task, run_id, started, None, seconds, "success", None, None)
+            (self.as_of.date(), dag_id, task, run_id, started, None, seconds, "success", self.rows.get(task), None)
             for task, seconds, started in self.timings
         ]
         return self.spark.createDataFrame(rows, RUN_METRICS_SCHEMA)

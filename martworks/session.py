@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -18,6 +20,8 @@ SETTINGS = {
     # one more exchange there.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Steps that run side by side share the executors.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -76,3 +80,21 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     finally:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def concurrently(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run independent steps side by side, each with its jobs in a pool of its own, and give
+    their results in order. Spark's own scheduler shares the executors among the pools. Job
+    group and other local properties of the caller are inherited. All steps come to an
+    end before the first error is raised."""
+
+    def own(number: int, step: Callable[[], object]):
+        def run():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"step-{number}")
+            return step()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max(1, len(steps))) as threads:
+        futures = [threads.submit(own(i, s)) for i, s in enumerate(steps)]
+    return [f.result() for f in futures]

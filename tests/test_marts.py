@@ -146,26 +146,99 @@ def test_incremental_build_equals_full_refresh(spark, raw, lake, folder):
     assert other.read("orders_are_complete", "test_failures").count() > 0
     metrics = full.run_metrics("daily", "r1")
     assert metrics.where("duration_seconds > 0").count() == 13
+    runs = spark.read.parquet(other.path("runs", "state"))
+    assert rows(runs.where("rows_processed is not null").select("task_id", "rows_processed")) == [
+        (n, other.read(n).count()) for n in ("fct_order_items", "fct_orders")
+    ]
+    assert full.check(raise_on_error=True).count() == len(status)
+    spark.range(1).selectExpr("'x' as seller_key").write.mode("append").parquet(other.path("dim_sellers"))
+    with pytest.raises(pipeline.ChecksFailed, match="dim_sellers"):
+        full.check(raise_on_error=True)
 
 
-def test_late_lines_reach_dimensions_at_once_and_facts_on_request(spark, raw, folder):
-    """Lines of old orders land long after the lookback: the dimensions count them in the
-    next run, the facts in a run that takes up newly landed partitions."""
+def test_late_lines_are_taken_up_by_the_next_run(spark, raw, folder):
+    """Lines of old orders land long after the lookback: the next run counts them in facts
+    and dimensions, unless it is told to leave them."""
     late = F.col("order_id").cast("bigint") % 50 == 0
     landed = F.when(late, F.lit("2002-02-01").cast("date")).otherwise(F.col("ingest_date"))
     complete = {**raw, "order_items": raw["order_items"].withColumn("ingest_date", landed)}
-    build(spark, folder, {**raw, "order_items": raw["order_items"].where(~late)}, datetime(2001, 9, 1)).run()
-    build(spark, folder, complete, datetime(2001, 9, 2)).run()
+    early = {**raw, "order_items": raw["order_items"].where(~late)}
     once = f"{folder}/once"
     build(spark, once, complete, datetime(2001, 9, 2), full_refresh=True).run()
-    wh, other = Warehouse(spark, folder), Warehouse(spark, once)
-    dimensions = ("dim_customers", "dim_sellers", "dim_products")
-    for name in dimensions:
-        assert same(wh.read(name), other.read(name)), name
-    assert not same(wh.read("fct_order_items"), other.read("fct_order_items"))
-    build(spark, folder, complete, datetime(2001, 9, 3), landed_since=date(2002, 1, 15)).run()
-    for name in ("fct_orders", "fct_order_items", "agg_daily_performance", *dimensions):
-        assert same(wh.read(name), other.read(name)), name
+    other = Warehouse(spark, once)
+    names = ("fct_orders", "fct_order_items", "agg_daily_performance", "dim_customers", "dim_sellers", "dim_products")
+    for options in ({}, {"take_late": False, "landed_since": date(2002, 1, 15)}):
+        root = f"{folder}/{len(options)}"
+        build(spark, root, early, datetime(2001, 9, 1)).run()
+        wh = Warehouse(spark, root)
+        if options:
+            build(spark, root, early, datetime(2001, 9, 2), take_late=False).run()
+            assert not same(wh.read("fct_order_items"), other.read("fct_order_items"))
+        build(spark, root, complete, datetime(2001, 9, 2), **options).run()
+        for name in names:
+            assert same(wh.read(name), other.read(name)), (name, options)
+
+
+def _step(spark, folder, raw, at, **options):
+    """One incremental run beside a full one on the same raw tables: all that differs."""
+    build(spark, f"{folder}/steps", raw, at, **options).run()
+    build(spark, f"{folder}/full", raw, at, full_refresh=True).run()
+    wh, other = Warehouse(spark, f"{folder}/steps"), Warehouse(spark, f"{folder}/full")
+    names = ("fct_orders", "fct_order_items", "dim_customers", "dim_sellers", "dim_products")
+    return [n for n in names if not same(wh.read(n), other.read(n))]
+
+
+def test_measures_follow_changes_that_are_taken_back(spark, raw, folder):
+    """Orders that move to another day, lines that change seller and price, orders that
+    appear after their lines: kept measures stay those of a full run."""
+    some = F.col("order_id").cast("bigint") % 40 == 0
+    first = {**raw, "orders": raw["orders"].where(~some)}  # their lines have no order yet
+    assert _step(spark, folder, first, datetime(2001, 9, 1)) == []
+    later = F.lit("2002-03-01").cast("date")
+    arrived = {**raw, "orders": raw["orders"].withColumn("ingest_date", F.when(some, later).otherwise(F.col("ingest_date")))}
+    assert _step(spark, folder, arrived, datetime(2001, 9, 2)) == []
+    moved = F.col("order_id").cast("bigint") % 60 == 0
+    purchased = "order_purchase_timestamp"
+    orders = arrived["orders"].where(moved & F.col(purchased).isNotNull()).withColumns(
+        {
+            purchased: F.col(purchased) - F.expr("interval 70 days"), "ingest_date": F.lit("2002-03-02").cast("date"),
+            "_ingested_at": F.lit("2002-03-02 00:00:00").cast("timestamp_ntz"),
+        }
+    )
+    lines = raw["order_items"].where(F.col("order_id").cast("bigint") % 70 == 0).withColumns(
+        {
+            "seller_id": F.lit("3"), "price": F.col("price") + 1, "ingest_date": F.lit("2002-03-02").cast("date"),
+            "_ingested_at": F.lit("2002-03-02 00:00:00").cast("timestamp_ntz"),
+        }
+    )
+    changed = {
+        **arrived, "orders": arrived["orders"].unionByName(orders), "order_items": raw["order_items"].unionByName(lines),
+    }
+    assert _step(spark, folder, changed, datetime(2001, 9, 3)) == []
+    # A run that stopped half-way leaves a mark; the next one sums all measures again.
+    stopped = build(spark, f"{folder}/steps", changed, datetime(2001, 9, 4))
+    stopped._mark(True)
+    spark.range(0).selectExpr("'x' as customer_unique_id", "id as orders", "cast(id as decimal(28,2)) as value",
+                              "current_date() as first", "current_date() as last").write.mode("overwrite").parquet(
+        stopped._state("customer_measures"))
+    assert _step(spark, folder, changed, datetime(2001, 9, 4)) == []
+
+
+def test_window_reads_the_partitions_of_its_orders(spark, raw, folder):
+    path = f"{folder}/lines"
+    lines = raw["order_items"].withColumn("ingest_date", F.to_date(F.trunc("ingest_date", "month")))
+    lines.write.partitionBy("ingest_date").parquet(path)
+    complete = {**raw, "order_items": spark.read.parquet(path)}
+    build(spark, folder, complete, datetime(2001, 9, 1)).run()
+    own = build(spark, folder, complete, datetime(2001, 9, 2))
+    keys = complete["orders"].where("order_id = '7'").select("order_id")
+    matched = own._matching("order_items", keys, "order_id")
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if path in x)
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
+    days = {r[0] for r in lines.where("order_id = '7'").select("ingest_date").distinct().collect()}
+    assert own._index("order_items").partitions(keys, "order_id") == days
+    assert rows(matched.select("order_item_id")) == rows(lines.where("order_id = '7'").select("order_item_id"))
 
 
 def test_stored_marts_carry_their_descriptions(spark, lake, folder):
