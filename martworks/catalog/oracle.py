@@ -8,6 +8,7 @@ from martworks.catalog.lake import AS_OF, EARLIEST
 from martworks.catalog.queries import INCREMENTAL_FROM, SUITE_BOUNDS, TIGHT_BOUNDS
 from martworks.catalog.testdata import RAW_TABLES, SELLER_SNAPSHOTS, SOURCES
 from martworks.functions.columns import REGION_STATES, UNKNOWN_REGION
+from martworks.plans.descriptions import TABLES
 from martworks.quality import declared
 from martworks.quality.suites import build_suites
 from martworks.sources.registry import get_table
@@ -685,6 +686,24 @@ union all
 select 'product', product_key, orders_containing_product, units_sold, cast(gross_revenue as double), null, null
 from dim_products""",
 )
+answer(
+    "incremental_added_column",
+    "stg_orders",
+    f"""select case when purchased_date < date '{INCREMENTAL_FROM}' then null
+    when order_status = 'delivered' then 'shop' else 'app' end as channel,
+  count(*) as row_count, count(distinct date_trunc('month', purchased_date)) as months
+from stg_orders group by 1""",
+)
+answer(
+    "published_marts",
+    "dim_geography dim_products",
+    "select target, mart, row_count, comment from (select unnest(['dev', 'ci']) as target) t, ("
+    + " union all ".join(
+        f"select '{name}' as mart, count(*) as row_count, '{TABLES[name][0]}' as comment from {name}"
+        for name in ("dim_geography", "dim_products")
+    )
+    + ") m",
+)
 answer(
     "index_partitions",
     "src_order_items src_orders",

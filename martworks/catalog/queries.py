@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
@@ -17,7 +18,7 @@ from martworks.operators.keyed import top_n_per_group
 from martworks.plans import marts, reports, rollups
 from martworks.plans.descriptions import TABLES
 from martworks.plans.pipeline import Build
-from martworks.plans.warehouse import Warehouse, with_comments
+from martworks.plans.warehouse import Warehouse, namespace, with_comments
 from martworks.quality import checks, declared, expectations, invariants, suites
 from martworks.quality.quantiles import exact_quantiles
 from martworks.sources import csv_source, files, landing, raw
@@ -472,6 +473,48 @@ def incremental_partitions(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def incremental_added_column(lake: Lake) -> DataFrame:
+    """A column that only later batches have: it is added to the stored table, and rows of
+    partitions that were not touched have none in it."""
+    path = f"{lake.work()}/orders_by_month"
+    month = F.trunc("purchased_date", "month").alias("purchased_month")
+    orders = lake.stg_orders.select("order_id", "order_status", "purchased_date", month)
+    early = orders.where(F.col("purchased_date") < INCREMENTAL_FROM)
+    index = KeyIndex(lake.spark, f"{lake.work()}/index", "order_id", "purchased_month")
+    upsert.full_refresh(early, path, "purchased_month", index=index)
+    channel = F.when(F.col("order_status") == "delivered", "shop").otherwise("app").alias("channel")
+    batch = orders.where(F.col("purchased_date") >= INCREMENTAL_FROM).select("*", channel)
+    upsert.upsert_partitions(lake.spark, batch, path, ["order_id"], "purchased_month", index=index)
+    stored = lake.spark.read.option("mergeSchema", True).parquet(path)
+    return stored.groupBy("channel").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("purchased_month").alias("months")
+    )
+
+
+@query
+def published_marts(lake: Lake) -> DataFrame:
+    """Two marts read as catalog tables of two namespaces side by side, with the descriptions
+    that the catalog gives back. Both are of this call alone: a catalog may hold others."""
+    parts = []
+    for target in ("dev", "ci"):
+        prefix = f"m{uuid.uuid4().hex[:12]}"
+        warehouse = Warehouse(lake.spark, f"{lake.work()}/{target}", target, prefix)
+        warehouse.write(lake.dim_geography, "dim_geography")
+        warehouse.write(lake.dim_products, "dim_products")
+        names = ["dim_geography", "dim_products"]
+        warehouse.publish(names)
+        database = namespace("marts", target, prefix)
+        for name in names:
+            comment = lake.spark.catalog.getTable(f"{database}.{name}").description
+            parts.append(
+                lake.spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
+                    F.lit(target).alias("target"), F.lit(name).alias("mart"), "row_count", F.lit(comment).alias("comment")
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # data tests
 
 
