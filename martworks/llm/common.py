@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -45,8 +46,10 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 def let_go(spark: SparkSession) -> None:
     """Have the driver collect its garbage: Spark then removes the shuffle files of steps that
-    nothing refers to any more. Between stored steps of a job this bounds the disk it takes."""
+    nothing refers to any more. Between stored steps of a job this bounds the disk it takes.
+    The JVM is told of what Python has let go by a thread that needs a moment."""
     gc.collect()
+    time.sleep(0.5)
     spark._jvm.java.lang.System.gc()
 
 

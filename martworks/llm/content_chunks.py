@@ -6,10 +6,10 @@ and come back after an insertion, so the same passage has the same chunks wherev
 stands. Chunks whose digest two documents hold are candidates.
 
 A passage is a stretch of text each word of which lies in ``MIN_WORDS`` words that another
-document holds too, byte by byte. Candidates are extended to their true bounds by the
-windows of so many words that hold a candidate whole: these are compared by digest, one
-for each word they begin at, and those that two documents hold are joined to passages. The
-document with the smallest id keeps a window, the others may lose it.
+document holds too, byte by byte. Runs of candidates are extended to their true bounds by the
+windows of so many words around them, all of whose inner chunks are candidates: these are
+compared by digest, one for each word they begin at, and those that two documents hold are
+joined to passages. The document with the smallest id keeps a window, the others may lose it.
 
 Every ``REACH`` bytes have a cut, so 16 + 2 * REACH equal bytes have two in common and a
 whole chunk between them; ``MIN_WORDS`` words are never shorter, and no window is missed. A
@@ -121,19 +121,25 @@ class _Text:
         begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
         return ends, self.spans(begins, ends), np.searchsorted(ends, self.offsets, side="right")
 
-    def around(self, i: int, begins: np.ndarray, ends: np.ndarray, words: int) -> np.ndarray:
-        """First words of the windows of text ``i`` that hold one of the chunks whole."""
+    def candidates(self, i: int, begins: np.ndarray, ends: np.ndarray, hit: np.ndarray, words: int) -> np.ndarray:
+        """First words of the windows of text ``i`` that may stand elsewhere, by its chunks and
+        whether other documents hold them. Where a window is equal, so are the chunks that lie
+        ``reach`` bytes inside it: all of these have to be held, and one chunk at least."""
         a, b = int(self.places[i]), int(self.places[i + 1])
-        if b - a < words or not len(begins):
+        if b - a < words or not hit.any():
             return np.zeros(0, np.int64)
-        last = np.searchsorted(self.starts[a:b], begins, side="right") - 1
-        first = np.maximum(np.searchsorted(self.ends[a:b], ends, side="left") - words + 1, 0)
-        last = np.minimum(last, b - a - words)
-        some = first <= last
-        steps = np.zeros(b - a + 1, np.int64)
-        np.add.at(steps, first[some], 1)
-        np.add.at(steps, last[some] + 1, -1)
-        return a + np.flatnonzero(np.cumsum(steps)[: b - a] > 0)
+        first = np.arange(a, b - words + 1)
+        starts, stops = self.starts[first], self.ends[first + words - 1]
+
+        def within(low: np.ndarray, high: np.ndarray, which: np.ndarray) -> np.ndarray:
+            """How many of ``which`` chunks lie between ``low`` and ``high``."""
+            counts = np.concatenate(([0], np.cumsum(which)))
+            x, y = np.searchsorted(begins, low, side="left"), np.searchsorted(ends, high, side="right")
+            return counts[np.maximum(x, y)] - counts[x]
+
+        inside = self.reach + 4  # an end may be moved to the end of its character
+        lost = within(starts + WINDOW + inside, stops - inside, ~hit)
+        return first[(lost == 0) & (within(starts, stops, hit) > 0)]
 
 
 def _chunk(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -153,15 +159,18 @@ _WINDOWS = "doc_id long, digests array<long>, at array<int>, starts array<int>,
 
 
 def _window(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """The windows around chunks that other documents hold too, of rows with text and hits."""
+    """The windows around runs of chunks that other documents hold too, of rows with text and
+    the places of such chunks."""
     for batch in common.chunks(batches, "text"):
         text = _Text(batch.column("text"), words)
         ends, _, places = text.chunks()
         begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
         firsts = []
         for i in range(batch.num_rows):
-            hit = places[i] + batch.column("hits")[i].values.to_numpy().astype(np.int64)
-            firsts.append(text.around(i, begins[hit], ends[hit], words))
+            x, y = int(places[i]), int(places[i + 1])
+            hit = np.zeros(y - x, bool)
+            hit[batch.column("hits")[i].values.to_numpy()] = True
+            firsts.append(text.candidates(i, begins[x:y], ends[x:y], hit, words))
         sizes = np.array([len(x) for x in firsts])
         first = np.concatenate(firsts)
         a, b = text.starts[first], text.ends[first + words - 1]

@@ -76,7 +76,7 @@ class Marks:
         edge = np.zeros(span - 1, np.uint64)
         most = _slide(np.concatenate((edge, least, edge)), np.maximum, span)
         at = self.at = np.flatnonzero(hashes == most[:n])
-        self.mark = hashes[at]
+        self.mark = common.mix(hashes[at])  # least hashes are small: mixed, they spread again
         self.of = np.searchsorted(offsets, at, side="right") - 1
         self.start = np.maximum(at - (length - GRAM), offsets[self.of])
         self.end = np.minimum(at + length, offsets[self.of + 1])
