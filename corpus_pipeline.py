@@ -19,7 +19,9 @@ NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model accepts; it is fitted on their own labels."""
+    """Documents whose language the model accepts; it is fitted on their own labels. Null
+    and empty texts and texts without a letter have no language and go; rows that repeat an id
+    or a text are judged one by one; an empty table stays empty."""
     common.prepare(spark)
     return language_id.accepted_rows(docs, language_id.fit(docs))
 
@@ -36,12 +38,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their personal data replaced by marks."""
+    """Documents with their personal data replaced by marks. All rows stay, a null text stays
+    null, an empty one empty; rows that repeat are treated alike."""
     return pii.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mixture, within and across the files written."""
+    """All documents in the order of the mixture, within and across the files written. A null
+    source is a source, a null or empty text counts as a word, rows that repeat all stay."""
     mixed = mixing.mixed(docs)
     files = max(1, mixed.sparkSession.sparkContext.defaultParallelism)
     ordered = mixed.repartitionByRange(files, "mix_slot", "mix_order").sortWithinPartitions("mix_slot", "mix_order")
@@ -50,7 +54,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens. Each file of the mixture is a segment of its own, so sequence
-    ids follow the mixture from file to file; rows that come from no file are one segment."""
+    ids follow the mixture from file to file; rows that come from no file are one segment. A
+    null or empty text has its end id only; an empty table gives no sequences."""
     name = F.col("_metadata.file_name")
     try:
         docs.select(name)
