@@ -49,8 +49,9 @@ def let_go(spark: SparkSession) -> None:
     nothing refers to any more. Between stored steps of a job this bounds the disk it takes.
     The JVM is told of what Python has let go by a thread that needs a moment."""
     gc.collect()
-    time.sleep(0.5)
-    spark._jvm.java.lang.System.gc()
+    for _ in range(3):
+        time.sleep(1)
+        spark._jvm.java.lang.System.gc()
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm import common
+from martworks.sources import files
 
 #: Each so many bytes have a cut; a chunk without one ends after MOST bytes.
 REACH, MOST = 40, 160
@@ -224,6 +225,8 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("k")).alias("hits")),
         f"{path}/hits",
     )
+    del chunks
+    files.delete(docs.sparkSession, f"{path}/chunks")
     common.let_go(docs.sparkSession)
     windows = common.stored(
         texts.join(hits, ["doc_id", "h"]).select("doc_id", "text", "hits")
