@@ -5,6 +5,7 @@ from datetime import date, datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martworks.catalog.lake import Lake
 from martworks.operators.keyed import latest_by_key, top_n_per_group
 from martworks.plans import rollups, staging
 
@@ -193,3 +194,24 @@ def test_first_review_and_response_hours(spark):
     row = rollups.review_summary(df).first()
     assert (row.review_count, row.first_review_score, row.review_response_hours) == (3, 2, 3)
     assert row.has_any_comment and row.min_review_score == 2
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
+def test_lines_are_dealt_by_order_once(spark, sf_dir):
+    """Staging deals orders, lines and payments by order; their rollups need no exchange by
+    order of their own, and map tasks do not sort lines."""
+    lake = Lake(spark, sf_dir)
+    for model in (lake.item_summary, lake.payment_summary, lake.stg_orders):
+        lines = _plan(model)
+        assert not [x for x in lines if "Exchange hashpartitioning(order_id" in x and "ENSURE_REQUIREMENTS" in x]
+    assert "\n".join(_plan(lake.stg_order_items)).count("WindowGroupLimit") == 1
+
+
+def test_key_of_lines_is_not_carried_through_joins(spark, sf_dir):
+    plan = _plan(Lake(spark, sf_dir).items_enriched)
+    hashed = [i for i, x in enumerate(plan) if "md5(" in x]
+    joined = [i for i, x in enumerate(plan) if "Join" in x]
+    assert hashed and joined and max(hashed) < min(joined)
