@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.catalog.testdata import RAW_TABLES, SELLER_SNAPSHOTS, SOURCES, SPARK_NAMES
+from martworks.functions import columns as fn
 from martworks.operators.scd2 import snapshot_check
 from martworks.plans import marts, rollups, staging
 from martworks.session import shared_dir
@@ -18,6 +19,8 @@ from martworks.sources import files
 # First order date taken as valid in the test tables, which start in January 1995.
 EARLIEST = "1995-02-01"
 AS_OF = "2001-08-01"
+# Models whose readers group and join by order: kept, they lie in buckets of it.
+BY_ORDER = {"stg_order_items": "order_id", "order_context": "order_id"}
 SELLER_CHECK_COLUMNS = ("seller_city", "seller_state", "zip_code_prefix")
 
 
@@ -67,16 +70,44 @@ class Lake:
     def __exit__(self, *_) -> None:
         self.close()
 
-    def _stored(self, name: str) -> DataFrame:
-        """A model written once and read back, for queries that use it many times."""
+    def _stored(self, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
+        """A model, or some columns of it, written once and read back, for queries that use
+        it many times."""
         path = f"{self.work()}/{name}"
-        getattr(self, name).write.mode("overwrite").parquet(path)
+        df = getattr(self, name)
+        df = df.select(*columns) if columns else df
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.parquet(path)
 
+    def _bucketed(self, name: str, key: str) -> DataFrame:
+        """A model written once in buckets of ``key``: whoever groups or joins it by that key
+        needs no exchange. Only a catalog table tells of its buckets; the relation that was read
+        keeps them, so the name is dropped at once while the files stay."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"kept_{uuid.uuid4().hex}"
+        to = getattr(self, name).write.format("parquet").option("compression", "zstd")
+        to.bucketBy(n, key).sortBy(key).option("path", f"{self.work()}/{name}").saveAsTable(table)
+        kept = self.spark.table(table)
+        self.spark.sql(f"drop table {table}")
+        return kept
+
     def keep(self, *names: str) -> None:
         """Store models that several others read; those then read the stored copy."""
         for name in names:
-            self.__dict__[name] = self.stored(name)
+            if name in self._kept:
+                continue
+            if name == "stg_order_items":  # the key is a hash that no codec makes smaller
+                self.stg_order_items = self.stg_order_items.drop("order_item_key")
+                kept = self._bucketed(name, BY_ORDER[name])
+                kept = kept.withColumn("order_item_key", fn.surrogate_key("order_id", "line_number"))
+            elif name == "order_context":  # measures are worked out after the way to the customers and back
+                met = rollups.order_context(self.stg_orders, self.stg_customers).repartition(BY_ORDER[name])
+                self.order_context = rollups.delivery_timeline(met)
+                kept = self._bucketed(name, BY_ORDER[name])
+                self.delivery_timeline = kept.drop(*rollups.BUYER_COLUMNS)
+            else:
+                kept = self.stored(name)
+            self.__dict__[name] = kept
             self._kept.add(name)
 
     # staging
@@ -125,8 +156,7 @@ class Lake:
 
     @cached_property
     def item_summary(self) -> DataFrame:
-        dealt = "stg_order_items" not in self._kept
-        return rollups.item_summary(self.stg_order_items, self.stg_products, dealt)
+        return rollups.item_summary(self.stg_order_items, self.stg_products, dealt=True)
 
     @cached_property
     def review_summary(self) -> DataFrame:
@@ -143,7 +173,8 @@ class Lake:
     @cached_property
     def line_context(self) -> DataFrame:
         return rollups.line_context(
-            self.stg_order_items, self.order_context, self.stg_products, self.stg_sellers
+            self.stg_order_items, self.order_context, self.stg_products, self.stg_sellers,
+            dealt=set(BY_ORDER) <= self._kept,
         )
 
     @cached_property
@@ -168,6 +199,8 @@ class Lake:
 
     @cached_property
     def order_values(self) -> DataFrame:
+        if "order_context" in self._kept:
+            return rollups.order_values(self.order_context, self.stg_order_items)
         return rollups.order_values(self.stg_orders, self.stg_order_items, self.stg_customers)
 
     @cached_property

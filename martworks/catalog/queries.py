@@ -528,11 +528,12 @@ def _raw_tables(lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def _models(lake: Lake, wanted, stored: bool = True) -> dict[str, DataFrame]:
-    if stored:
-        lake.keep("stg_order_items", "order_context")
+def _models(lake: Lake, wanted, *kept: str) -> dict[str, DataFrame]:
+    """The models that checks read. Each is read once and only in the columns of its checks,
+    so it is not stored itself; ``kept`` are models that several of them read."""
+    lake.keep(*kept)
     names = {c.model for c in wanted} | {c.parent for c in wanted if c.parent}
-    return {n: lake.stored(n) if stored else getattr(lake, n) for n in sorted(names)}
+    return {n: getattr(lake, n) for n in sorted(names)}
 
 
 def _of_kind(pool, *kinds):
@@ -546,19 +547,20 @@ def checks_sources(lake: Lake) -> DataFrame:
 
 @query
 def checks_staging(lake: Lake) -> DataFrame:
-    return checks.run_checks(_models(lake, declared.STAGING_CHECKS), declared.STAGING_CHECKS)
+    wanted = declared.STAGING_CHECKS
+    return checks.run_checks(_models(lake, wanted, "stg_order_items"), wanted)
 
 
 @query
 def checks_intermediate(lake: Lake) -> DataFrame:
     wanted = declared.INTERMEDIATE_CHECKS
-    return checks.run_checks(_models(lake, wanted), wanted)
+    return checks.run_checks(_models(lake, wanted, "stg_order_items", "order_context"), wanted)
 
 
 @query
 def checks_marts(lake: Lake) -> DataFrame:
-    lake.keep("stg_order_items", "order_context", "fct_order_items")
-    return checks.run_checks(_models(lake, declared.MART_CHECKS), declared.MART_CHECKS)
+    wanted = declared.MART_CHECKS
+    return checks.run_checks(_models(lake, wanted, "stg_order_items", "order_context"), wanted)
 
 
 @query
@@ -566,7 +568,7 @@ def null_counts(lake: Lake) -> DataFrame:
     wanted = _of_kind(
         [c for c in declared.MART_CHECKS if c.model == "fct_order_items"], "not_null"
     )
-    return checks.run_checks(_models(lake, wanted, stored=False), wanted)
+    return checks.run_checks(_models(lake, wanted), wanted)
 
 
 @query

@@ -158,9 +158,14 @@ def review_summary(reviews: DataFrame) -> DataFrame:
     )
 
 
+#: What an order learns from its customer.
+BUYER_COLUMNS = ("customer_unique_id", "customer_state", "customer_region", "customer_zip_code_prefix")
+
+
 def delivery_timeline(orders: DataFrame, grace_days: int = DELIVERY_GRACE_DAYS) -> DataFrame:
     """Delivery measures from the order's timestamps. ``is_late`` stays NULL until
-    the order has arrived, so averages never count an order in flight as on time."""
+    the order has arrived, so averages never count an order in flight as on time. Orders
+    that know their customer already keep those columns."""
     delivered = F.col("delivered_at")
     overdue = F.col("delivery_vs_promise_days") > grace_days
     return (
@@ -176,6 +181,7 @@ def delivery_timeline(orders: DataFrame, grace_days: int = DELIVERY_GRACE_DAYS)
             "purchased_date",
             "estimated_delivery_date",
             "delivered_date",
+            *[c for c in BUYER_COLUMNS if c in orders.columns],
             fn.hours_between("purchased_at", "approved_at").alias("hours_to_approval"),
             fn.hours_between("approved_at", "shipped_at").alias("hours_to_carrier"),
             fn.days_between("purchased_at", "delivered_at").alias("days_to_delivery"),
@@ -220,41 +226,44 @@ def order_context(timeline: DataFrame, customers: DataFrame) -> DataFrame:
     return timeline.join(buyer, "customer_id", "left")
 
 
-def order_values(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
+def order_values(orders: DataFrame, items: DataFrame, customers: DataFrame | None = None) -> DataFrame:
     """Orders with person and item total: what a person's lifetime measures need, for far
-    less work than the order fact."""
+    less work than the order fact. Without ``customers`` the orders name the person
+    themselves (:func:`order_context`)."""
     totals = items.groupBy("order_id").agg(F.sum("item_total").alias("order_total"))
-    person = customers.select("customer_id", "customer_unique_id")
+    known = ["order_id", "customer_id", "purchased_date"]
+    if customers is None:
+        valued = orders.select(*known, "customer_unique_id").join(totals, "order_id", "left")
+    else:
+        person = customers.select("customer_id", "customer_unique_id")
+        valued = orders.select(*known).join(totals, "order_id", "left").join(person, "customer_id", "inner")
     return (
-        orders.select("order_id", "customer_id", "purchased_date")
-        .join(totals, "order_id", "left")
-        .join(person, "customer_id", "inner")
-        .withColumn("order_total", F.coalesce("order_total", F.lit(0)))
+        valued.withColumn("order_total", F.coalesce("order_total", F.lit(0)))
     )
 
 
 def line_context(
-    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame
+    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, dealt: bool = False
 ) -> DataFrame:
     """Lines with order, customer, product and seller attributes; ``orders`` is the
     output of :func:`order_context`.
 
-    The lines meet products and sellers while they are narrow and their wide order last. The
-    line's key, a hash that no codec makes smaller, is worked out again after the joins."""
-    goods = products.select(
-        "product_id",
-        "category_name",
-        "category_name_pt",
-        "product_weight_g",
-        "product_volume_cm3",
-    )
-    shop = sellers.select("seller_id", "seller_state", "seller_region")
+    The lines meet products and sellers while they are narrow and their wide order last;
+    where lines and orders are dealt by order already (``dealt``), these meet first, without an
+    exchange. Products and sellers are told apart by their key, so that Spark leaves out a
+    join none of whose columns is read. The line's key, a hash that no codec makes smaller,
+    is worked out again after the joins."""
+    one = lambda df, key, *columns: df.groupBy(key).agg(*[F.first(c).alias(c) for c in columns])
+    goods = one(products, "product_id", "category_name", "category_name_pt", "product_weight_g", "product_volume_cm3")
+    shop = one(sellers, "seller_id", "seller_state", "seller_region")
+    lines = items.drop("_ingested_at", "order_item_key")
+    if dealt:
+        lines = lines.join(orders, "order_id", "inner")
+    lines = lines.join(goods, "product_id", "left").join(shop, "seller_id", "left")
+    if not dealt:
+        lines = lines.join(orders, "order_id", "inner")
     return (
-        items.drop("_ingested_at", "order_item_key")
-        .join(goods, "product_id", "left")
-        .join(shop, "seller_id", "left")
-        .join(orders, "order_id", "inner")
-        .withColumn("order_item_key", fn.surrogate_key("order_id", "line_number"))
+        lines.withColumn("order_item_key", fn.surrogate_key("order_id", "line_number"))
         .withColumn(
             "is_intrastate_shipment", F.col("seller_state") == F.col("customer_state")
         )

@@ -115,41 +115,79 @@ def _label(check: Check) -> list[Column]:
         F.lit(check.column).alias("column"),
     ]
 
+def _packed(text: Column) -> Column:
+    """``text`` as bytes, different for different texts. Even numbers of hex digits (hashes,
+    many ids) take half of them; the first byte tells which of both it is."""
+    hexed = text.rlike(r"\A[0-9a-f]+\z") & (F.length(text) % 2 == 0)
+    return F.when(hexed, F.concat(F.lit(b"\x01"), F.unhex(text))).otherwise(
+        F.concat(F.lit(b"\x00"), text.cast("binary"))
+    )
+
+
 def _key(columns: tuple[str, ...]) -> Column:
-    """The values as one text, different for different values. NULL is a value of a
+    """The values as bytes, different for different values. NULL is a value of a
     combination."""
     if len(columns) == 1:
-        return F.col(columns[0]).cast("string")
+        return _packed(F.col(columns[0]).cast("string"))
     parts = []
     for c in columns:
         text = F.col(c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.concat(*parts)
+    return _packed(F.concat(*parts))
 
 
-def _entry(number: int, key: Column | None = None, n: int = 1, parent: bool = False) -> Column:
-    """What one row says to one check: a failure, a key it has, or a key that others need."""
+def _entry(domain: int, key: Column | None = None, slot: int = 0, n: int = 1) -> Column:
+    """What one row says: that it has a key of a domain (slot 0), that it needs one (the slot of
+    its check), or, without a key, that it fails the check of that domain."""
     return F.struct(
-        F.lit(number).alias("number"), (F.lit(None).cast("string") if key is None else key).alias("key"),
-        F.lit(n).cast("bigint").alias("n"), F.lit(parent).alias("parent"),
+        F.lit(domain).alias("domain"), (F.lit(None).cast("binary") if key is None else key).alias("key"),
+        F.lit(slot).cast("tinyint").alias("slot"), F.lit(n).cast("bigint").alias("n"),
     )
 
 
+def _places(checks: list[Check]) -> list[tuple[int, int]]:
+    """Domain and slot of every check. A uniqueness check and the relations that point to the
+    same column share a domain, where each relation has a slot of its own: the column's
+    keys are counted once for all of them."""
+    domains: dict[tuple, int] = {}
+    slots: dict[int, int] = defaultdict(int)
+    found = []
+    for i, check in enumerate(checks):
+        if check.kind == "relationship":
+            of = ("keys", check.parent, (check.parent_column,))
+        elif check.kind == "unique":
+            of = ("keys", check.model, check.columns)
+        else:
+            of = (check.kind, i)
+        domain = domains.setdefault(of, len(domains))
+        slots[domain] += check.kind == "relationship"
+        found.append((domain, slots[domain] if check.kind == "relationship" else 0))
+    return found
+
+
 def _entries(checks: list[Check]) -> dict[str, list[Column]]:
     """By table, what each of its rows says to all checks, NULL where it says nothing."""
     found: dict[str, list[Column]] = defaultdict(list)
-    for i, check in enumerate(checks):
-        own, known = found[check.model], F.lit(True)
+    owned = set()
+
+    def own(domain: int, model: str, columns: tuple[str, ...], null_counts: bool = False) -> None:
+        if domain in owned:
+            return
+        owned.add(domain)
+        known = F.lit(True)
+        for c in () if null_counts else columns:
+            known = known & F.col(c).isNotNull()
+        found[model].append(F.when(known, _entry(domain, _key(columns))))
+
+    for check, (domain, slot) in zip(checks, _places(checks)):
         if check.kind in ROW_KINDS:
-            own.append(F.when(breaks(check), _entry(i)))
-            continue
-        if check.kind != "unique_combination":
-            for c in check.columns:
-                known = known & F.col(c).isNotNull()
-        own.append(F.when(known, _entry(i, _key(check.columns))))
-        if check.kind == "relationship":
-            parent = (check.parent_column,)
-            found[check.parent].append(F.when(F.col(parent[0]).isNotNull(), _entry(i, _key(parent), 0, True)))
+            found[check.model].append(F.when(breaks(check), _entry(domain)))
+        elif check.kind == "relationship":
+            needed = _entry(domain, _key(check.columns), slot)
+            found[check.model].append(F.when(F.col(check.column).isNotNull(), needed))
+            own(domain, check.parent, (check.parent_column,))
+        else:
+            own(domain, check.model, check.columns, check.kind == "unique_combination")
     return found
 
 
@@ -159,30 +197,41 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
 
     Every table is read once. Its rows say to each check what they add: failures of
     row checks, keys that must be unique, keys of children and of parents. All of it is
-    counted by check and key in one aggregate, which combines before it shuffles: a
-    value that fills a third of a table crosses the network as one row per task."""
+    counted by domain and key in one aggregate, which combines before it shuffles: a
+    value that fills a third of a table crosses the network as one row per task. A key that
+    several checks ask for crosses it once for each table."""
     checks = list(checks)
     spark = next(iter(tables.values())).sparkSession
-    # Every check has a row, also one that no row says anything to.
-    said = [spark.range(1).select(F.explode(F.array(*[_entry(i, n=0) for i in range(len(checks))])).alias("e"))]
-    for model, entries in _entries(checks).items():
-        said.append(tables[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e")))
+    places = _places(checks)
+    last = max((slot for _, slot in places), default=0)
+    said = [
+        tables[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        for model, entries in _entries(checks).items()
+    ]
     keys = (
         reduce(DataFrame.union, said)
         .select("e.*")
-        .groupBy("number", "key")
-        .agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+        .groupBy("domain", "key")
+        .agg(*[F.sum(F.when(F.col("slot") == s, F.col("n"))).alias(f"n{s}") for s in range(last + 1)])
     )
-    kinds = F.array(*[F.lit(c.kind) for c in checks])
-    labels = F.array(*[F.struct(*_label(c)) for c in checks])
-    kind = F.get(kinds, F.col("number"))
-    failures = (
-        F.when(kind == "relationship", F.when(F.col("parent"), 0).otherwise(F.col("n")))
-        .when(kind.isin("unique", "unique_combination"), (F.col("n") > 1).cast("bigint"))
-        .otherwise(F.col("n"))
+    own = F.coalesce("n0", F.lit(0))
+    by_domain = keys.groupBy("domain").agg(
+        F.sum(own).alias("rows"),
+        F.count_if(own > 1).alias("repeated"),
+        *[F.sum(F.when(own == 0, F.col(f"n{s}"))).alias(f"orphans{s}") for s in range(1, last + 1)],
     )
-    counted = keys.groupBy("number").agg(F.sum(failures).alias("failures"))
-    return counted.select(F.get(labels, F.col("number")).alias("r"), "failures").select("r.*", "failures")
+    # Every check has a row, also one that no row says anything to.
+    wanted = F.array(*[
+        F.struct(*_label(c), F.lit(d).alias("domain"), F.lit(c.kind if not s else f"orphans{s}").alias("counts"))
+        for c, (d, s) in zip(checks, places)
+    ])
+    counted = spark.range(1).select(F.explode(wanted).alias("r")).select("r.*").join(by_domain, "domain", "left")
+    counts = F.col("counts")
+    failures = F.when(counts.isin("unique", "unique_combination"), F.col("repeated"))
+    for s in range(1, last + 1):
+        failures = failures.when(counts == f"orphans{s}", F.col(f"orphans{s}"))
+    failures = F.coalesce(failures.otherwise(F.col("rows")), F.lit(0).cast("bigint"))
+    return counted.select("model", "check", "column", failures.alias("failures"))
 
 
 def with_severity(

@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows, same
 from pyspark.sql import functions as F
 
+from martworks.catalog import queries
 from martworks.catalog.lake import Lake
 from martworks.plans import marts, pipeline, reports
 from martworks.plans.warehouse import Warehouse, namespace, with_comments
-from martworks.quality import invariants
+from martworks.quality import declared, invariants
 from martworks.sources import files
 
 
@@ -269,3 +271,27 @@ def test_stored_snapshot_follows_changes(spark, raw, folder):
         spark.createDataFrame([(datetime(2024, 1, 1), datetime(2024, 1, 2)), (datetime(2024, 1, 2), datetime(2024, 1, 2, 13)), (datetime(2024, 1, 2, 13), None)], "a timestamp_ntz, b timestamp_ntz")
     )
     assert snap.where("seller_id = '3'").count() == 2
+
+
+def test_kept_models_lie_by_order_and_say_the_same(spark, sf_dir, folder, lake):
+    with Lake(spark, sf_dir, folder) as own:
+        before = {t.name for t in spark.catalog.listTables()}
+        own.keep("stg_order_items", "order_context")
+        assert {t.name for t in spark.catalog.listTables()} == before
+        # Checks of the line fact read nothing of products or sellers, and lines and orders meet where they lie.
+        keys = own.fct_order_items.select("order_item_key", "order_key", "product_key", "customer_key")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            plan = keys._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "part.parquet" not in plan
+        for name in ("fct_order_items", "fct_orders", "dim_customers", "dim_sellers", "agg_daily_performance"):
+            assert same(getattr(own, name), getattr(lake, name)), name
+        assert sorted(p.name for p in Path(folder).glob("*/*")) == ["order_context", "stg_order_items"]
+
+
+def test_models_that_checks_read_are_not_stored(spark, sf_dir, folder):
+    with Lake(spark, sf_dir, folder) as own:
+        assert queries.checks_marts(own).count() == len(declared.MART_CHECKS)
+        assert sorted(p.name for p in Path(folder).glob("*/*")) == ["order_context", "stg_order_items"]

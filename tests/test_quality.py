@@ -198,3 +198,30 @@ def test_outcome_of_suites(spark):
     with pytest.raises(expectations.SuiteFailure, match="b: range"):
         expectations.outcome(results, raise_on_failure=True)
     assert expectations.outcome(results.where("success"), raise_on_failure=True).passed
+
+
+def test_a_key_that_several_checks_ask_for_is_told_once(spark):
+    wanted = [
+        *checks.unique("parent", "pk"),
+        *checks.relationship("child", "fk", "parent", "pk"),
+        *checks.relationship("other", "fk", "parent", "pk"),
+        *checks.relationship("parent", "boss", "parent", "pk"),
+    ]
+    assert {m: len(e) for m, e in checks._entries(wanted).items()} == {"parent": 2, "child": 1, "other": 1}
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    tables = {
+        "parent": frame([("ab", "zz"), ("ab", None), ("1", "ab"), (None, "AB")], "pk string, boss string"),
+        "child": frame([("ab",), ("x",), ("x",), (None,)], "fk string"),
+        "other": frame([(1,), (2,)], "fk int"),
+    }
+    got = {(r.model, r["check"]): r.failures for r in checks.run_checks(tables, wanted).collect()}
+    assert got == {
+        ("parent", "unique"): 1, ("child", "relationship"): 2, ("other", "relationship"): 1, ("parent", "relationship"): 2,
+    }
+
+
+def test_packed_keys_are_as_different_as_their_texts(spark):
+    texts = ["", "a", "ab", "AB", "abc", "ab\n", "00", "0", "000", "0000", "\x01\xab", "\x00ab", "é", "f" * 32, "f" * 20_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", checks._packed(F.col("t")).alias("k"))
+    found = {r.t: bytes(r.k) for r in df.collect()}
+    assert len(set(found.values())) == len(texts) and len(found["f" * 32]) == 17
