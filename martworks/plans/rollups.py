@@ -67,11 +67,37 @@ def item_summary(items: DataFrame, products: DataFrame, dealt: bool = False) ->
     them); totals, distinct products and distinct sellers are then groups inside a partition.
     Only order, product and price go to the products and come back with the category's
     code. The dominant category is the largest of revenue with the category's code below
-    it: one number, which Spark keeps in a hash aggregate."""
-    money = lambda c: F.sum(c).alias(c)
+    it: one number, which Spark keeps in a hash aggregate. Sides are joined by order, so
+    that Spark leaves out those none of whose columns is read; lines without an order, which
+    no join brings together, are folded."""
     lines = items.select("order_id", "product_id", "seller_id", "item_price", "freight_value", "item_total")
+    codes = category_codes(products)
+    coded = products.select("product_id", "category_name").join(
+        codes.withColumnRenamed("primary_category", "category_name"), "category_name", "left"
+    ).select("product_id", "_code")
+    known = lines.where(F.col("order_id").isNotNull())
     if not dealt:
-        lines = lines.repartition("order_id")
+        known = known.repartition("order_id")
+    totals, sellers, dominant = _rolled(known, coded)
+    by_order = totals.join(sellers, "order_id", "left").join(dominant, "order_id", "left")
+    totals, sellers, dominant = _rolled(lines.where(F.col("order_id").isNull()), coded)
+    stacked = totals.unionByName(sellers, allowMissingColumns=True).unionByName(dominant, allowMissingColumns=True)
+    without = stacked.groupBy("order_id").agg(*[F.max(c).alias(c) for c in stacked.columns if c != "order_id"])
+    code = F.lit(_CODES - 1) - F.pmod("_first", F.lit(_CODES).cast("decimal(10,0)")).cast("bigint")
+    return (
+        by_order.unionByName(without)
+        .withColumn("_code", code)
+        .join(codes.groupBy("_code").agg(F.first("primary_category").alias("primary_category")), "_code", "left")
+        .select(
+            "order_id", "item_count", "distinct_product_count", "distinct_seller_count", "gross_item_revenue",
+            "freight_revenue", "order_item_total", "max_item_price", "min_item_price", "primary_category",
+        )
+    )
+
+
+def _rolled(lines: DataFrame, coded: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """By order: totals, distinct sellers, and the dominant category's code below its revenue."""
+    money = lambda c: F.sum(c).alias(c)
     sellers = lines.groupBy("order_id", "seller_id").agg(F.lit(1).alias("one"))
     sellers = sellers.groupBy("order_id").agg(F.count("seller_id").alias("distinct_seller_count"))
     totals = (
@@ -91,15 +117,11 @@ def item_summary(items: DataFrame, products: DataFrame, dealt: bool = False) ->
             F.min("least").alias("min_item_price"),
         )
     )
-    codes = category_codes(products)
-    coded = products.select("product_id", "category_name").join(
-        codes.withColumnRenamed("primary_category", "category_name"), "category_name", "left"
-    )
     place = F.lit(_CODES - 1) - F.coalesce("_code", F.lit(_CODES - 1))
     first = (F.col("item_price") * 100).cast("decimal(28,0)") * F.lit(_CODES).cast("decimal(10,0)") + place
     dominant = (
         lines.select("order_id", "product_id", "item_price")
-        .join(coded.select("product_id", "_code"), "product_id", "left")
+        .join(coded, "product_id", "left")
         .select("order_id", "item_price", "_code")
         .repartition("order_id")
         .groupBy("order_id", "_code")
@@ -107,19 +129,7 @@ def item_summary(items: DataFrame, products: DataFrame, dealt: bool = False) ->
         .groupBy("order_id")
         .agg(F.max(first).alias("_first"))
     )
-    code = F.lit(_CODES - 1) - F.pmod("_first", F.lit(_CODES).cast("decimal(10,0)")).cast("bigint")
-    # Folded, not joined: orders without an id stay, and all sides lie by order already.
-    stacked = totals.unionByName(sellers, allowMissingColumns=True).unionByName(dominant, allowMissingColumns=True)
-    return (
-        stacked.groupBy("order_id")
-        .agg(*[F.max(c).alias(c) for c in stacked.columns if c != "order_id"])
-        .withColumn("_code", code)
-        .join(codes, "_code", "left")
-        .select(
-            "order_id", "item_count", "distinct_product_count", "distinct_seller_count", "gross_item_revenue",
-            "freight_revenue", "order_item_total", "max_item_price", "min_item_price", "primary_category",
-        )
-    )
+    return totals, sellers, dominant
 
 
 def review_summary(reviews: DataFrame) -> DataFrame:

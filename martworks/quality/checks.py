@@ -115,7 +115,7 @@ def _label(check: Check) -> list[Column]:
         F.lit(check.column).alias("column"),
     ]
 
-def _packed(text: Column) -> Column:
+def packed(text: Column) -> Column:
     """``text`` as bytes, different for different texts. Even numbers of hex digits (hashes,
     many ids) take half of them; the first byte tells which of both it is."""
     hexed = text.rlike(r"\A[0-9a-f]+\z") & (F.length(text) % 2 == 0)
@@ -128,12 +128,12 @@ def _key(columns: tuple[str, ...]) -> Column:
     """The values as bytes, different for different values. NULL is a value of a
     combination."""
     if len(columns) == 1:
-        return _packed(F.col(columns[0]).cast("string"))
+        return packed(F.col(columns[0]).cast("string"))
     parts = []
     for c in columns:
         text = F.col(c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return _packed(F.concat(*parts))
+    return packed(F.concat(*parts))
 
 
 def _entry(domain: int, key: Column | None = None, slot: int = 0, n: int = 1) -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martworks.quality.checks import packed
 from martworks.quality.quantiles import exact_quantiles
 
 
@@ -76,6 +77,11 @@ class Suite:
     expectations: Sequence[Expectation]
     where: Column | None = field(default=None, compare=False)
 
+    def columns(self) -> tuple[str, ...]:
+        """What its expectations read, apart from ``where``."""
+        read = [c for e in self.expectations for c in (e.column, e.other) if c]
+        return tuple(dict.fromkeys(read))
+
 
 def _within(value: Column, low, high) -> Column:
     ok = F.lit(True)
@@ -136,6 +142,7 @@ def run_suite(
 ) -> DataFrame:
     """One row per expectation with what was observed and whether it holds."""
     rows = df if where is None else df.where(where)
+    kinds = dict(rows.dtypes)
     checks = [(f"e{i}", e) for i, e in enumerate(expectations)]
     none = F.lit(None)
     aggregates, results, parts = [F.count(F.lit(1)).alias("n")], [], []
@@ -159,7 +166,7 @@ def run_suite(
         elif e.kind == "values_unique":
             copies = (
                 rows.where(F.col(e.column).isNotNull())
-                .groupBy(e.column)
+                .groupBy(packed(F.col(e.column)) if kinds[e.column] == "string" else F.col(e.column))
                 .agg(F.count(F.lit(1)).alias("c"))
                 .agg(
                     F.coalesce(F.sum("c"), F.lit(0)).alias("n"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martworks.catalog import queries
 from martworks.catalog.lake import Lake
-from martworks.plans import marts, pipeline, reports
+from martworks.plans import marts, pipeline, reports, rollups
 from martworks.plans.warehouse import Warehouse, namespace, with_comments
 from martworks.quality import declared, invariants
 from martworks.sources import files
@@ -295,3 +295,22 @@ def test_models_that_checks_read_are_not_stored(spark, sf_dir, folder):
     with Lake(spark, sf_dir, folder) as own:
         assert queries.checks_marts(own).count() == len(declared.MART_CHECKS)
         assert sorted(p.name for p in Path(folder).glob("*/*")) == ["order_context", "stg_order_items"]
+
+
+def test_order_rollup_keeps_lines_without_order_and_leaves_out_unread_sides(spark, sf_dir, folder):
+    cents = "decimal(18,2)"
+    lines = spark.createDataFrame(
+        [("o", "p", "s", 1.0), ("o", "q", "s", 3.0), (None, "p", "s", 2.0), (None, "q", "t", 2.0), (None, None, None, 1.0)],
+        "order_id string, product_id string, seller_id string, item_price double",
+    ).select("*", F.lit(0).cast(cents).alias("freight_value"), F.col("item_price").cast(cents).alias("item_total"))
+    lines = lines.withColumn("item_price", F.col("item_price").cast(cents))
+    products = spark.createDataFrame([("p", "a"), ("q", "b")], "product_id string, category_name string")
+    got = rollups.item_summary(lines, products).select(
+        "order_id", "item_count", "distinct_product_count", "distinct_seller_count", "primary_category"
+    )
+    assert rows(got) == sorted([("o", 2, 2, 1, "b"), (None, 3, 2, 2, "a")], key=repr)
+    with Lake(spark, sf_dir, folder) as own:
+        own.keep("stg_order_items", "order_context")
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        unread = plan(own.fct_orders.select("order_key", "order_total")).count("part.parquet")
+        assert unread < plan(own.fct_orders.select("order_key", "primary_category")).count("part.parquet")

@@ -222,6 +222,13 @@ def test_a_key_that_several_checks_ask_for_is_told_once(spark):
 
 def test_packed_keys_are_as_different_as_their_texts(spark):
     texts = ["", "a", "ab", "AB", "abc", "ab\n", "00", "0", "000", "0000", "\x01\xab", "\x00ab", "é", "f" * 32, "f" * 20_000]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", checks._packed(F.col("t")).alias("k"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", checks.packed(F.col("t")).alias("k"))
     found = {r.t: bytes(r.k) for r in df.collect()}
     assert len(set(found.values())) == len(texts) and len(found["f" * 32]) == 17
+
+
+def test_a_suite_names_the_columns_it_reads():
+    orders, lines, daily = suites.build_suites(1000)
+    assert lines.columns() == ("order_item_key", "item_price", "freight_ratio", "item_total", "category_name")
+    assert daily.columns() == ("purchased_date", "late_delivery_rate", "total_revenue", "customer_state", "avg_review_score")
+    assert "primary_category" not in orders.columns() and "payment_variance" in orders.columns()
