@@ -181,6 +181,31 @@ def test_late_lines_are_taken_up_by_the_next_run(spark, raw, folder):
             assert same(wh.read(name), other.read(name)), (name, options)
 
 
+def test_a_build_in_parts_equals_one_in_one_go(spark, raw, folder):
+    """Full and late lines in parts: the same facts and measures, one row of metrics for each
+    step, and a full run that stopped between parts is done again in full."""
+    late = F.col("order_id").cast("bigint") % 50 == 0
+    none = raw["order_items"].limit(1).withColumn("order_id", F.lit(None).cast("string"))
+    lines = raw["order_items"].unionByName(none)
+    landed = F.when(late, F.lit("2002-02-01").cast("date")).otherwise(F.col("ingest_date"))
+    complete = {**raw, "order_items": lines.withColumn("ingest_date", landed)}
+    early = {**raw, "order_items": lines.where(~F.coalesce(late, F.lit(False)))}
+    stored = [(n, "marts") for n in ("fct_orders", "fct_order_items")] + [
+        (n, "state") for n in ("customer_measures", "seller_measures", "product_measures", "product_sellers", "orphan_lines")
+    ]
+    for source, at, mode in ((early, datetime(2001, 9, 1), "full"), (complete, datetime(2001, 9, 2), "incremental")):
+        few, all_ = (build(spark, f"{folder}/{n}", source, at, lines_at_once=n) for n in (3500, 10**9))
+        assert {r.mode for own in (few, all_) for r in own.facts().values()} == {mode}
+        assert few._parts() == 2 and all_._parts() == 1
+        for name, layer in stored:
+            assert same(few.warehouse.read(name, layer), all_.warehouse.read(name, layer)), (name, mode)
+        assert len(few.timings) == len({t[0] for t in few.timings})
+        assert few.rows == all_.rows
+    assert not few.warehouse.exists("unfinished", "state") and few._start() is not None
+    few._mark(True, "unfinished")
+    assert few._start() is None
+
+
 def _step(spark, folder, raw, at, **options):
     """One incremental run beside a full one on the same raw tables: all that differs."""
     build(spark, f"{folder}/steps", raw, at, **options).run()
@@ -256,6 +281,14 @@ def test_a_lake_removes_what_it_stored(spark, sf_dir, folder):
     assert not files.exists(spark, path)
 
 
+def test_a_raw_table_that_is_kept_is_read_and_not_made_again(spark, sf_dir, folder, lake):
+    with Lake(spark, sf_dir, folder) as own:
+        own.keep_raw("order_payments")
+        kept = own.raw("order_payments")
+        assert same(kept, lake.raw("order_payments")) and kept.dtypes == lake.raw("order_payments").dtypes
+        assert all("src_order_payments" in f for f in kept.inputFiles())
+
+
 def test_stored_snapshot_follows_changes(spark, raw, folder):
     wh = Warehouse(spark, folder)
     sellers = raw["sellers"]
